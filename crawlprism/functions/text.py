@@ -56,7 +56,8 @@ def normalize_text(c: Column | str) -> Column:
 def digit_density(c: Column | str) -> Column:
     """Share of ASCII digits; an empty text has density 0."""
     c = _col(c)
-    digits = F.length(F.regexp_replace(c, "[^0-9]", ""))
+    # removing the few digits is much cheaper than removing everything else
+    digits = F.length(c) - F.length(F.regexp_replace(c, "[0-9]+", ""))
     return digits / F.when(F.length(c) > 0, F.length(c)).otherwise(F.lit(1.0))
 
 

@@ -149,7 +149,7 @@ def _(spark, sf):
        WHERE n_chars > 30""",
 )
 def _(spark, sf):
-    docs = load(spark, sf, "documents").select(
+    docs = load(spark, sf, "documents", "doc_id", "n_chars").select(
         F.concat(F.lit("<urn:uuid:"), F.col("doc_id").cast("string"), F.lit(">")).alias("record_id"), "n_chars"
     )
     numbered = numbering.with_row_number(docs, ["record_id"])
@@ -166,7 +166,7 @@ numbered AS (
 
 def _lines(spark, sf):
     parts = F.concat(F.array(F.lit("WARC/1.0")), F.split("text", "\n"))
-    return load(spark, sf, "documents").select("doc_id", F.posexplode(parts).alias("pos", "value"))
+    return load(spark, sf, "documents", "doc_id", "text").select("doc_id", F.posexplode(parts).alias("pos", "value"))
 
 
 @registry.add(

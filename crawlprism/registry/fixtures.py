@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlprism.session import spread_small_scan
+
 PHRASES = [
     "american community survey",
     "see data.census.gov and api.census.gov",
@@ -39,8 +41,9 @@ PHRASES = [
 ]
 
 
-def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+def load(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_small_scan(table.select(*columns) if columns else table)
 
 
 def _pick(position: Column, values: list[str]) -> Column:
@@ -51,7 +54,7 @@ def _pick(position: Column, values: list[str]) -> Column:
 
 
 def salted(spark: SparkSession, sf: str) -> DataFrame:
-    d = load(spark, sf, "documents").select("doc_id", "lang", "text")
+    d = load(spark, sf, "documents", "doc_id", "lang", "text")
     kind = F.col("doc_id") % 10
     copies = F.greatest(F.lit(5), F.floor(F.length("text") / 20).cast("int"))
     tail = (
@@ -82,7 +85,7 @@ SALTED_SQL = """salted AS (
 
 def phrased(spark: SparkSession, sf: str) -> DataFrame:
     """Every document followed by one of the phrases, so that each pattern occurs."""
-    d = load(spark, sf, "documents").select("doc_id", "text")
+    d = load(spark, sf, "documents", "doc_id", "text")
     phrase = _pick(F.col("doc_id") % len(PHRASES), PHRASES)
     return d.select("doc_id", F.concat_ws(" ", "text", phrase, F.lit("end")).alias("content"))
 
@@ -99,7 +102,7 @@ PHRASED_SQL = f"""phrased AS (
 
 def _on_pages(spark: SparkSession, sf: str, docs: DataFrame) -> DataFrame:
     """Each document placed on one of the URLs of ``pages``."""
-    p = load(spark, sf, "pages").select("page_id", "url")
+    p = load(spark, sf, "pages", "page_id", "url")
     n_pages = p.agg(F.count(F.lit(1))).scalar()
     return docs.withColumn("page_id", F.col("doc_id") % n_pages).join(p, "page_id")
 
@@ -157,7 +160,7 @@ def record_texts(spark: SparkSession, sf: str, with_signals: bool = False) -> Da
     if with_signals:
         docs = salted(spark, sf)
     else:
-        docs = load(spark, sf, "documents").select("doc_id", "lang", F.col("text").alias("content"))
+        docs = load(spark, sf, "documents", "doc_id", "lang", "text").withColumnRenamed("text", "content")
     lines = [
         F.lit("WARC-Type: conversion"),
         F.concat(F.lit("WARC-Target-URI: "), "url"),
@@ -175,7 +178,7 @@ def record_texts(spark: SparkSession, sf: str, with_signals: bool = False) -> Da
         F.lit(".warc.wet.gz\r\nContent-Type: application/warc-fields\r\nContent-Length: 7\r\n\r\nrobots: \r\n"),
     )
     pages = _on_pages(spark, sf, docs).select("doc_id", F.concat_ws("\r\n", *lines, F.lit("")).alias("value"))
-    heads = load(spark, sf, "pages").select((-F.col("page_id") - 1).alias("doc_id"), info.alias("value"))
+    heads = load(spark, sf, "pages", "page_id").select((-F.col("page_id") - 1).alias("doc_id"), info.alias("value"))
     return pages.unionAll(heads)
 
 
@@ -184,7 +187,7 @@ def record_texts(spark: SparkSession, sf: str, with_signals: bool = False) -> Da
 
 def envelope_lines(spark: SparkSession, sf: str) -> DataFrame:
     """One JSON envelope per page, plus for each page a marker line and a malformed line."""
-    p = load(spark, sf, "pages").select("page_id", "url", "html")
+    p = load(spark, sf, "pages", "page_id", "url", "html")
     size = F.length("html").cast("string")
     meta = F.named_struct(
         F.lit("Deflate-Length"), F.lit("100"), F.lit("Header-Length"), F.lit("10"),
@@ -226,7 +229,7 @@ def envelope_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def crawl_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Objects of seven years; ``seen`` marks those an earlier load already took."""
-    o = load(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    o = load(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus")
     key = F.col("o_orderkey")
     end = F.col("o_orderdate") + F.expr("interval 3 hours")
 

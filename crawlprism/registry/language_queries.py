@@ -40,7 +40,7 @@ DOCS_SQL = f"WITH {language_sql('documents', 'doc_id', 'text')}"
 
 
 def _docs(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", "text")
+    return load(spark, sf, "documents", "doc_id", "text")
 
 
 @registry.add(
@@ -77,7 +77,7 @@ def _(spark, sf):
         FROM lang_status JOIN documents USING (doc_id) GROUP BY ALL""",
 )
 def _(spark, sf):
-    flagged = L.detect_language(load(spark, sf, "documents").select("lang", "text"), "text")
+    flagged = L.detect_language(load(spark, sf, "documents", "lang", "text"), "text")
     return flagged.groupBy("lang", "has_other_lang").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -19,6 +19,7 @@ from crawlprism.registry.fixtures import (
 
 )
 from crawlprism.registry.text_queries import STOP
+from crawlprism.session import cut_lineage
 
 SALTED_LABELS = f"WITH {SALTED_SQL}, {labelled_sql('salted', 'doc_id')}"
 CORPUS_LABELS = f"WITH {CORPUS_SQL}, {labelled_sql('corpus', 'record_id, target_uri')}"
@@ -56,7 +57,7 @@ def _(spark, sf):
         FROM labelled JOIN counts USING (label)""",
 )
 def _(spark, sf):
-    rows = features.with_class_weight(_labelled(spark, sf).select("doc_id", "label"))
+    rows = features.with_class_weight(cut_lineage(_labelled(spark, sf).select("doc_id", "label")))
     return rows.select("doc_id", "label", F.round("class_weight", 6).alias("class_weight"))
 
 
@@ -66,7 +67,7 @@ def _(spark, sf):
          THEN 'train' ELSE 'test' END AS side FROM documents""",
 )
 def _(spark, sf):
-    train, test = sampling.split_by_key(load(spark, sf, "documents").select("doc_id"), "doc_id")
+    train, test = sampling.split_by_key(load(spark, sf, "documents", "doc_id"), "doc_id")
     return train.withColumn("side", F.lit("train")).unionAll(test.withColumn("side", F.lit("test")))
 
 
@@ -78,8 +79,8 @@ PREDICTED = """WITH predicted AS (
 
 
 def _predicted(spark, sf):
-    docs = load(spark, sf, "documents").select("doc_id", "n_chars")
-    return docs.join(load(spark, sf, "labels").select("doc_id", "quality"), "doc_id").select(
+    docs = load(spark, sf, "documents", "doc_id", "n_chars")
+    return docs.join(load(spark, sf, "labels", "doc_id", "quality"), "doc_id").select(
         F.col("quality").alias("label"),
         (F.col("n_chars") > 2000).cast("int").alias("prediction"),
         F.col("n_chars").cast("double").alias("score"),
@@ -150,7 +151,7 @@ def _(spark, sf):
          (SELECT embedding FROM embeddings WHERE vec_id = 0)::DOUBLE[]), 6) AS cosine_to_anchor FROM embeddings""",
 )
 def _(spark, sf):
-    vectors = load(spark, sf, "embeddings").select("vec_id", "embedding")
+    vectors = load(spark, sf, "embeddings", "vec_id", "embedding")
     scored = similarity.with_dense_cosine(vectors, vectors.where(F.col("vec_id") == 0))
     return scored.select("vec_id", F.round("cosine_to_anchor", 6).alias("cosine_to_anchor"))
 
@@ -177,7 +178,7 @@ cosine AS (
         SELECT doc_id, cosine_to_anchor FROM documents LEFT JOIN cosine USING (doc_id)""",
 )
 def _(spark, sf):
-    docs = load(spark, sf, "documents").select(
+    docs = load(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", X.without_words(X.word_tokens("text")).alias("tokens")
     )
     scored = similarity.term_cosine(docs, docs.where(F.col("doc_id") == 1), "doc_id")
@@ -197,8 +198,11 @@ def _(spark, sf):
 )
 def _(spark, sf):
     labelled = signals.label_pages(corpus(spark, sf)).select("record_id", "target_uri", "label", "text_norm")
-    unique = similarity.one_page_per_uri(labelled).select(
-        "target_uri", "label", X.without_words(X.word_tokens("text_norm")).alias("tokens")
+    # one page per URI is read for the anchor, the scores and the report
+    unique = cut_lineage(
+        similarity.one_page_per_uri(labelled).select(
+            "target_uri", "label", X.without_words(X.word_tokens("text_norm")).alias("tokens")
+        )
     )
     first = unique.agg(F.min("target_uri")).scalar()
     marked = unique.withColumn("_anchor_uri", first)
@@ -217,13 +221,13 @@ def _(spark, sf):
 
 @registry.add("hashed_tf")
 def _(spark, sf):
-    docs = load(spark, sf, "documents").select("doc_id", "text")
+    docs = load(spark, sf, "documents", "doc_id", "text")
     return features.hashed_term_rows(docs, "doc_id", text_col="text")
 
 
 @registry.add("cosine_hashed")
 def _(spark, sf):
-    vectors = features.hashed_terms(load(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
+    vectors = features.hashed_terms(load(spark, sf, "documents", "doc_id", "text"), "text").drop("text")
     anchor = vectors.where(F.col("doc_id") == 1)
     scored = similarity.with_hashed_cosine(vectors, anchor, features.NUM_FEATURES)
     return scored.select("doc_id", F.round("cosine_to_anchor", 6).alias("cosine_to_anchor"))
@@ -231,7 +235,11 @@ def _(spark, sf):
 
 @registry.add("similar_pages_hashed")
 def _(spark, sf):
-    gold = signals.label_pages(corpus(spark, sf))
+    gold = cut_lineage(
+        signals.label_pages(corpus(spark, sf)).select(
+            "record_id", "target_uri", "label", "num_density", "has_any_census", "text_norm"
+        )
+    )
     first = gold.agg(F.min("target_uri")).first()[0]
     similar = modelling.similar_pages(gold, first)
     return similar.withColumn("cosine_to_anchor", F.round("cosine_to_anchor", 6))
@@ -240,9 +248,9 @@ def _(spark, sf):
 def _classifier(kind: str) -> None:
     @registry.add(f"{kind}_predictions")
     def _(spark, sf):
-        weighted = features.with_class_weight(
-            _labelled(spark, sf).select("doc_id", "label", "text_norm", "num_density", "has_any_census")
-        )
+        # the labelled pages are read many times, so they are stored once, as a gold table would be
+        gold = cut_lineage(_labelled(spark, sf).select("doc_id", "label", "text_norm"))
+        weighted = features.with_class_weight(gold)
         train, test = sampling.split_by_key(weighted, "doc_id")
         scored = classify.score(classify.train(train, kind), test)
         return scored.select("doc_id", "label", "predicted_label")

@@ -192,7 +192,7 @@ _HOST = r"replace(regexp_extract({0}, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)
           nullif(regexp_extract({_HOST.format('url')}, '\.[a-zA-Z]{{2,}}$'), '') AS tld FROM pages""",
 )
 def _(spark, sf):
-    pages = load(spark, sf, "pages").select("page_id", "url")
+    pages = load(spark, sf, "pages", "page_id", "url")
     return reports.with_site_columns(pages, "url").drop("url")
 
 

@@ -17,7 +17,7 @@ STOP_WEB = "(" + sql_list(D.ENGLISH_STOP_WORDS + D.WEB_STOP_WORDS)[1:-1] + ")"
 
 
 def _docs(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", "text")
+    return load(spark, sf, "documents", "doc_id", "text")
 
 
 @registry.add(
