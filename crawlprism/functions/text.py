@@ -62,8 +62,8 @@ def digit_density(c: Column | str) -> Column:
 
 
 def word_tokens(c: Column | str) -> Column:
-    """Lower-cased pieces between ASCII non-word characters, empties dropped."""
-    return F.filter(F.split(F.lower(_col(c)), "[^A-Za-z0-9_]"), lambda t: t != "")
+    """Lower-cased runs of ASCII word characters: what a split on ``\\W`` leaves, several times faster."""
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit("([A-Za-z0-9_]+)"), 1)
 
 
 def without_words(tokens: Column | str, words: Iterable[str] = ENGLISH_STOP_WORDS) -> Column:

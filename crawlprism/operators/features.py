@@ -78,4 +78,4 @@ def hashed_term_rows(df: DataFrame, id_col: str, **kwargs) -> DataFrame:
     """(id, bucket, tf) rows of the hashed vectors."""
     parts = F.unwrap_udt("tf_raw")
     pairs = F.arrays_zip(parts["indices"].alias("bucket"), parts["values"].alias("tf"))
-    return hashed_terms(df, **kwargs).select(id_col, pairs.alias("pairs")).select(id_col, F.inline("pairs"))
+    return hashed_terms(df, **kwargs).select(id_col, F.inline(pairs))

@@ -20,12 +20,19 @@ def terms(
     additional_stop_words: Iterable[str] = (),
     keep: Iterable[str] = (),
 ) -> DataFrame:
-    """One row per n-gram occurrence. Stop words go before n-grams form, so n-grams span them."""
+    """One row per n-gram occurrence. Stop words go before n-grams form, so n-grams span them.
+
+    Unigrams are exploded from the expression itself: for a plain column the optimizer adds
+    a non-empty test, which it pushes down to a second tokenisation.
+    """
     low, high = ngram_range
     if not 1 <= low <= high:
         raise ValueError("ngram_range must be (low, high) with 1 <= low <= high")
     removed = [*stop_words, *additional_stop_words]
-    tokens = df.select(*keep, X.without_words(X.term_tokens(text_col), removed).alias("_tokens"))
+    words = X.without_words(X.term_tokens(text_col), removed)
+    if high == 1:
+        return df.select(*keep, F.explode(words).alias("term"))
+    tokens = df.select(*keep, words.alias("_tokens"))
     grams = [X.ngrams(F.col("_tokens"), n) for n in range(low, high + 1)]
     every = grams[0] if len(grams) == 1 else F.concat(*grams)
     return tokens.select(*keep, F.explode(every).alias("term"))
