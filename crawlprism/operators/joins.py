@@ -9,27 +9,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _distinct_in_tags(df: DataFrame, key: str, tags: int = 16) -> DataFrame:
+    """At most ``tags`` copies of each key, without bringing all copies of one key together.
+
+    Tagged by input partition, a hot key is reduced on the map side and in ``tags`` places.
+    """
+    tagged = df.select(F.col(key).cast("string").alias("_key"), F.pmod(F.spark_partition_id(), F.lit(tags)).alias("_tag"))
+    return tagged.where(F.col("_key").isNotNull()).distinct().select("_key")
+
+
 def exclude_seen(df: DataFrame, seen: DataFrame, key: str = "obj_key") -> DataFrame:
     """Left anti join on ``key``; rows with a NULL key are kept.
 
-    NULL keys never match, so they join on a second column that no seen row carries and
-    are spread by their input partition instead of meeting in one task. The seen side is
-    reduced to distinct keys before the shuffle, and adaptive execution splits a left
-    partition that one hot key makes too large.
+    Hot keys on either side do not make one task. The seen side is pre-aggregated. It is
+    then shuffled directly for the join, which lets adaptive execution split an oversized
+    partition of the left side. NULL keys never match: they join on a second column that no
+    seen row carries and are spread by their input partition.
     """
-    keys = (
-        seen.select(F.col(key).alias("_key"))
-        .where(F.col("_key").isNotNull())
-        .distinct()
-        .withColumn("_spread", F.lit(-1))
-    )
+    # always -1, but no literal: a constant would be folded out of the join keys
+    never = F.least(F.length("_key"), F.lit(-1))
+    keys = _distinct_in_tags(seen, key).withColumn("_spread", never)
     routed = df.withColumns(
         {
             "_key": F.coalesce(F.col(key).cast("string"), F.lit("")),
             "_spread": F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(F.lit(-1)),
         }
     )
-    matches = [routed["_key"] == keys["_key"].cast("string"), routed["_spread"] == keys["_spread"]]
+    matches = [routed["_key"] == keys["_key"], routed["_spread"] == keys["_spread"]]
     return routed.join(keys, matches, "left_anti").select(*[f"`{c}`" for c in df.columns])
 
 

@@ -14,7 +14,11 @@ CRAWL_STAMPS = r"CC-MAIN-(\d{14})-(\d{14})-"
 
 
 def object_manifest(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
-    """One row per object below ``path``. Only metadata is read; the listing is distributed."""
+    """One row per non-empty object below ``path``. Only metadata is read; the listing is distributed.
+
+    File scans leave out empty objects (folder markers, for example); there is nothing to
+    read in them.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)

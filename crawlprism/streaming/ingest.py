@@ -27,19 +27,23 @@ def page_filters(records: DataFrame, keywords=tuple(D.PRODUCT_KEYWORDS)) -> Data
     return detect_language(pages, add_bool=False)
 
 
-def append_unseen(table: str, key: str) -> Callable[[DataFrame, int], None]:
+def append_unseen(table: str, key: str, session: SparkSession | None = None) -> Callable[[DataFrame, int], None]:
+    """Batch writer. Batches run in a clone of the session, so ``session`` is told of the new files."""
+
     def write(batch: DataFrame, _: int) -> None:
         # rows without a key are no duplicates of each other
         keyless = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
         fresh = batch.withColumn("_keyless", keyless).dropDuplicates([key, "_keyless"]).drop("_keyless")
         tables.append(fresh, table, key)
+        if session is not None:
+            session.catalog.refreshTable(table)
 
     return write
 
 
 def _run(stream: DataFrame, table: str, key: str, checkpoint: str) -> StreamingQuery:
     return (
-        stream.writeStream.foreachBatch(append_unseen(table, key))
+        stream.writeStream.foreachBatch(append_unseen(table, key, stream.sparkSession))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
