@@ -41,7 +41,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     The optimizer copies a projected expression into every filter that mentions
     it; a lambda variable is bound once per row.
     """
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def strip(c: Column | str) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlprism.functions import text as X
 from crawlprism.session import broadcast_if_small
 
 CRAWL_PREFIX = r"^(crawl-data/[^/]+/)"
@@ -46,7 +47,7 @@ def list_crawls(manifest: DataFrame, prefix: str, key_col: str = "obj_key") -> D
 
 def crawl_prefix(key: Column | str = "obj_key") -> Column:
     key = F.col(key) if isinstance(key, str) else key
-    return F.nullif(F.regexp_extract(key, CRAWL_PREFIX, 1), F.lit(""))
+    return X.let(F.regexp_extract(key, CRAWL_PREFIX, 1), lambda p: F.when(p != "", p))
 
 
 def master_indexes(manifest: DataFrame, key_col: str = "obj_key") -> DataFrame:
@@ -61,7 +62,7 @@ def master_indexes(manifest: DataFrame, key_col: str = "obj_key") -> DataFrame:
 def clean_prefix(c: Column | str) -> Column:
     """Trimmed, with a trailing slash ('' becomes '/')."""
     trimmed = F.trim(F.col(c) if isinstance(c, str) else c)
-    return F.when(trimmed.endswith("/"), trimmed).otherwise(F.concat(trimmed, F.lit("/")))
+    return X.let(trimmed, lambda p: F.when(p.endswith("/"), p).otherwise(F.concat(p, F.lit("/"))))
 
 
 def prefix_list(df: DataFrame, column: str, position: str) -> DataFrame:

@@ -77,8 +77,13 @@ def parse_all(
     only; records of another form are cut with one regex over the whole text.
     """
     keep = keep or []
-    text = df.select(*keep, F.concat(F.lit("\n"), _unix_lines(F.col(text_col))).alias("_text"))
-    parts = text.withColumn("_head", F.substring_index("_text", "\n\n", 1))
+
+    def cut_head(text: Column) -> Column:
+        return F.struct(text.alias("_text"), F.substring_index(text, "\n\n", 1).alias("_head"))
+
+    # a generator, because filters on the headers must not copy the text clean-up below themselves
+    text = F.concat(F.lit("\n"), _unix_lines(F.col(text_col)))
+    parts = df.select(*keep, F.inline(F.transform(F.array(text), cut_head)))
     cut = F.split("_text", _LENGTH_THEN_BLANK, 2)
     regular = F.col("_head").rlike(_LENGTH_LAST)
     block = F.when(regular, F.regexp_replace("_head", _LENGTH_LAST, "")).when(

@@ -72,7 +72,7 @@ def main(argv: list[str]) -> int:
     from crawlprism.session import build_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false"})
+    spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, failed = duck(sf_dir), oracle_sql(), 0
     for name, build in queries().items():
