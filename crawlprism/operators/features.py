@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF, RegexTokenizer, StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlprism.operators import dictionaries as D
@@ -29,9 +29,9 @@ def label_index(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def class_weights(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """label -> largest class count / own count."""
+    """label -> largest class count / own count. The window spans one row per class, not the pages."""
     counts = label_counts(df, label_col).where(F.col(label_col).isNotNull())
-    largest = counts.agg(F.max("n")).scalar()
+    largest = F.max("n").over(Window.partitionBy())
     return counts.select(label_col, (largest.cast("double") / F.col("n")).alias("class_weight"))
 
 

@@ -38,6 +38,9 @@ def with_row_number(
 ) -> DataFrame:
     """``row_number() over (order by ...)`` for frames of any size.
 
+    ``partitions`` defaults to the session's shuffle partitions; ``session.width_for`` measures
+    a stored frame for it.
+
     Rows that tie on ``order_by`` are spread by their input partition, so one key that
     holds a third of the rows does not make one task, and a repeated task sends its
     rows to the same place. Numbers among such ties are arbitrary but unique.

@@ -16,7 +16,7 @@ from crawlprism.operators.numbering import with_row_number
 from crawlprism.operators.reports import run_summary
 from crawlprism.operators.signals import mentions
 from crawlprism.schemas import RECORD_COLUMNS
-from crawlprism.session import cut_lineage
+from crawlprism.session import cut_lineage, width_for
 from crawlprism.sources import tables
 from crawlprism.sources.wet import parse_all, record_scan
 
@@ -75,7 +75,7 @@ def silver_pages(
             *[F.when(F.col("found"), F.col(c)).alias(c) for c in payload],
         )
     )
-    numbered = with_row_number(staged.where(F.col("clean")), ["record_id"])
+    numbered = with_row_number(staged.where(F.col("clean")), ["record_id"], partitions=width_for(staged))
     pages = numbered.where(F.col("found"))
     if not english_only:
         pages = detect_language(pages, add_bool=False, **language)

@@ -14,9 +14,15 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Settings that only count before the session starts: checkpoints go when nothing refers to them.
+STARTUP_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 # A side is broadcast only when its measured text is under this size.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+# Rows of one sorted partition stay near this size.
+PARTITION_BYTES = 256 * 1024 * 1024
+
 # Scans below this size may hold fewer row groups than there are cores.
 SMALL_SCAN_BYTES = 128 * 1024 * 1024
 
@@ -30,7 +36,7 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(extra or {})}.items():
+    for key, value in {**SETTINGS, **STARTUP_SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -61,6 +67,19 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def width_for(df: DataFrame, target_bytes: int = PARTITION_BYTES) -> int:
+    """Shuffle partitions that hold about ``target_bytes`` each, but no fewer than the session sets.
+
+    Reads the frame once for one number, so give it a stored frame.
+    """
+    widths = [
+        F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.simpleString() == "string" else F.lit(8)
+        for f in df.schema.fields
+    ]
+    total = df.agg(F.sum(sum(widths, F.lit(16)).cast("bigint"))).first()[0] or 0
+    return max(shuffle_width(df.sparkSession), -(-total // target_bytes))
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint behind a measurement; beyond the bound the join is left to shuffle.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from crawlprism.operators import numbering
 from crawlprism.registry.fixtures import load
+from crawlprism.session import width_for
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +50,13 @@ def test_running_totals(spark):
     assert sorted(map(tuple, out.select("id", "a", "b").collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_measured_width(spark):
+    df = spark.range(1000).withColumn("t", F.repeat(F.lit("x"), 100)).withColumn("n", F.lit(None).cast("string"))
+    assert width_for(df) == 8
+    assert width_for(df, target_bytes=1240) == 100
+    assert width_for(df.where("false")) == 8
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "id int, v int")
     assert numbering.with_row_number(df, ["id"]).count() == 0
