@@ -16,6 +16,10 @@ from crawlprism.operators import metrics
 
 HEURISTIC_FEATURES = ["num_density", "has_any_census"]
 
+# A training set this small spends its iterations on scheduling when it is spread widely.
+SMALL_TRAINING_ROWS = 10_000
+SMALL_TRAINING_TASKS = 4
+
 # Training settings.
 SETTINGS = {
     "svm": (LinearSVC, {"maxIter": 50, "regParam": 0.1}),
@@ -44,9 +48,11 @@ def heuristic_doubles(df: DataFrame) -> DataFrame:
 def train(df: DataFrame, kind: str = "lr", text_col: str = "text_norm", include_heuristics: bool = False) -> PipelineModel:
     """Fit on rows with ``label`` and ``class_weight``. Only the needed columns reach the iterations."""
     needed = ["label", "class_weight", text_col, *(HEURISTIC_FEATURES if include_heuristics else [])]
-    return Pipeline(stages=stages(kind, text_col, include_heuristics)).fit(
-        heuristic_doubles(df).select(*needed)
-    )
+    rows = heuristic_doubles(df).select(*needed)
+    # the probe stops at the bound, so on a large set it reads the first partitions only
+    if len(rows.select("label").take(SMALL_TRAINING_ROWS + 1)) <= SMALL_TRAINING_ROWS:
+        rows = rows.coalesce(SMALL_TRAINING_TASKS)
+    return Pipeline(stages=stages(kind, text_col, include_heuristics)).fit(rows)
 
 
 def class_names(model: PipelineModel) -> list[str]:

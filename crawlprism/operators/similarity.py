@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlprism.functions import vectors as V
-from crawlprism.functions.urls import authority
 from crawlprism.operators.sampling import first_per_group
 from crawlprism.session import broadcast_if_small
 
@@ -119,7 +118,6 @@ def most_similar(df: DataFrame, k: int = 20, score_col: str = "cosine_to_anchor"
 
 __all__ = [
     "anchor_host",
-    "authority",
     "find_anchor",
     "most_similar",
     "one_page_per_uri",

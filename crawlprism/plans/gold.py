@@ -67,6 +67,7 @@ def marts(spark: SparkSession, names: dict[str, str]) -> dict[str, DataFrame]:
     return {role: spark.read.table(name) for role, name in names.items()}
 
 
+# The tables a dashboard expects.
 DASHBOARD_ROLES = (
     "census_repackaged_enriched",
     "unigrams_repackaged",

@@ -9,7 +9,7 @@ from crawlprism.operators import dictionaries as D
 from crawlprism.operators import numbering
 from crawlprism.plans import silver
 from crawlprism.registry.base import registry
-from crawlprism.registry.fixtures import CORPUS_SQL, envelope_lines, load, record_texts
+from crawlprism.registry.fixtures import CORPUS_SQL, corpus, envelope_lines, load, record_texts
 from crawlprism.registry.language_queries import language_sql
 from crawlprism.schemas import RECORD_COLUMNS
 from crawlprism.sources import wat, wet
@@ -237,6 +237,4 @@ def _(spark, sf):
         WHERE regexp_matches(target_uri, '://[^/]*\.(com|org|edu|gov)(/|$)')""",
 )
 def _(spark, sf):
-    from crawlprism.registry.fixtures import corpus
-
     return corpus(spark, sf).where(in_domains("target_uri")).select("record_id", "target_uri")

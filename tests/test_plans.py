@@ -8,7 +8,7 @@ from crawlprism.plans import catalog, gold, silver
 from crawlprism.registry import registry
 from crawlprism.registry.fixtures import corpus, crawl_manifest, record_texts
 from crawlprism.schemas import MANIFEST_COLUMNS
-from crawlprism.session import checkpoint_dir
+from crawlprism.session import checkpoint_dir, spread_small_scan
 from crawlprism.sources import manifest as M
 from crawlprism.sources import tables
 from crawlprism.sources.wet import parse_all, record_separator
@@ -242,3 +242,10 @@ def test_separator():
 def test_pushdown(spark, sf, plan):
     text = plan(corpus(spark, sf).select("target_uri"))
     assert "html" not in text
+
+
+def test_only_small_scans_are_spread(spark, sf, plan):
+    scan = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    assert "REPARTITION" in plan(spread_small_scan(scan))
+    assert "Exchange" not in plan(spread_small_scan(scan, max_bytes=1000))
+    assert spread_small_scan(scan).count() == scan.count()
