@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import decontaminate, quality
+from crawlprism.llm import decontaminate, language_id, pii, quality, warc
 from crawlprism.llm.common import bound_batches, table
 from crawlprism.registry.base import Query
 
@@ -34,3 +34,19 @@ def op2(spark, sf_dir):
 @_add("op7_quality")
 def op7(spark, sf_dir):
     return quality.digest(quality.repetition(table(spark, sf_dir, "documents")))
+
+
+@_add("op5_warc", warc.SQL)
+def op5(spark, sf_dir):
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@_add("op8_pii")
+def op8(spark, sf_dir):
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
+@_add("op10_language")
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language_id.digest(docs, language_id.predictions(docs, language_id.training_sample(docs)))
