@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import decontaminate, language_id, pii, quality, warc
+from crawlprism.llm import decontaminate, language_id, near_dup, pii, quality, warc
 from crawlprism.llm.common import bound_batches, table
 from crawlprism.registry.base import Query
 
@@ -36,6 +36,12 @@ def op7(spark, sf_dir):
     return quality.digest(quality.repetition(table(spark, sf_dir, "documents")))
 
 
+@_add("op4_near_dup", near_dup.SQL)
+def op4(spark, sf_dir):
+    # shingles of two words are this query's contract; the operator and the pipeline take five
+    return near_dup.digest(near_dup.near_duplicates(table(spark, sf_dir, "documents"), width=2))
+
+
 @_add("op5_warc", warc.SQL)
 def op5(spark, sf_dir):
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
