@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import decontaminate, language_id, near_dup, pii, quality, warc
+from crawlprism.llm import bpe, decontaminate, language_id, near_dup, pii, quality, token_files, warc
 from crawlprism.llm.common import bound_batches, table
 from crawlprism.registry.base import Query
 
@@ -31,11 +31,21 @@ def op2(spark, sf_dir):
     return decontaminate.digest(found)
 
 
+@_add("op6_token_files")
+def op6(spark, sf_dir):
+    return token_files.token_round_trip(table(spark, sf_dir, "documents"))
+
+
 @_add("op7_quality")
 def op7(spark, sf_dir):
     return quality.digest(quality.repetition(table(spark, sf_dir, "documents")))
 
 
+@_add("op3_bpe")
+def op3(spark, sf_dir):
+    return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
+
+
 @_add("op4_near_dup", near_dup.SQL)
 def op4(spark, sf_dir):
     # shingles of two words are this query's contract; the operator and the pipeline take five
