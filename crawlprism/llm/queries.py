@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import bpe, decontaminate, language_id, near_dup, pii, quality, token_files, warc
+from crawlprism.llm import bpe, decontaminate, language_id, near_dup, pii, quality, suffix_dedup, token_files, warc
 from crawlprism.llm.common import bound_batches, table
 from crawlprism.registry.base import Query
 
@@ -62,6 +62,11 @@ def op8(spark, sf_dir):
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+@_add("op9_suffix_dedup")
+def op9(spark, sf_dir):
+    return suffix_dedup.digest(suffix_dedup.without_repeats(table(spark, sf_dir, "documents")))
+
+
 @_add("op10_language")
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
