@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlprism.llm import bpe, decontaminate, language_id, near_dup, pii, quality, suffix_dedup, token_files, warc
+from crawlprism.llm import bpe, decontaminate, language_id, licences, near_dup, pii, quality, suffix_dedup, token_files, warc
 from crawlprism.llm.common import bound_batches, table
 from crawlprism.registry.base import Query
 
@@ -25,6 +25,12 @@ def _add(name: str, sql: str | None = None):
     return register
 
 
+@_add("op1_licences")
+def op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return licences.licences(docs, licences.fit(docs))
+
+
 @_add("op2_decontaminate", decontaminate.SQL)
 def op2(spark, sf_dir):
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
