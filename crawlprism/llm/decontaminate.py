@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlprism.llm.common import text_bytes
+from crawlprism.llm.common import map_batches, stored, text_bytes
 
 WINDOW = 10
 
@@ -144,6 +144,21 @@ def _patterns(shared, key: str, window: int) -> Patterns:
 HITS = "doc_id {id}, text_key binary, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
 
 
+class _Blocks:
+    """The benchmark's patterns in blocks of a measured size; one at a time comes to the driver and goes to the executors."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int):
+        self.pieces = item_pieces(benchmark, item_col, text_col, window)
+        total = self.pieces.agg(F.sum(F.octet_length("piece") + F.octet_length("item"))).first()[0] or 0
+        self.count = max(1, -(-total // block_bytes))
+
+    def shared(self, i: int):
+        part = self.pieces.where(F.pmod(F.xxhash64("item", "piece"), F.lit(self.count)) == i)
+        found = [(r["item"], bytes(r["piece"])) for r in part.distinct().collect()]
+        key = hashlib.md5(repr(sorted(found)).encode()).hexdigest()
+        return self.pieces.sparkSession.sparkContext.broadcast(found), key
+
+
 def _search(docs: DataFrame, shared, key: str, window: int, schema: str, hit_only: bool) -> DataFrame:
     def run(batches):
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -189,26 +204,17 @@ def contamination(
     The patterns are sent to the executors in blocks of a measured size. One block needs no shuffle.
     Each further block is a pass of its own over the documents, and only rows with hits meet in a shuffle.
     """
-    spark = docs.sparkSession
-    pieces = item_pieces(benchmark, item_col, item_text_col, window)
-    total = pieces.agg(F.sum(F.octet_length("piece") + F.octet_length("item"))).first()[0] or 0
-    n_blocks = max(1, -(-total // block_bytes))
+    blocks = _Blocks(benchmark, item_col, item_text_col, window, block_bytes)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = HITS.format(id=kind)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(docs, text_col).alias("text"))
 
-    def block(i: int):
-        part = pieces.where(F.pmod(F.xxhash64("item", "piece"), F.lit(n_blocks)) == i)
-        found = [(r["item"], bytes(r["piece"])) for r in part.distinct().collect()]  # one block: bounded by block_bytes
-        key = hashlib.md5(repr(sorted(found)).encode()).hexdigest()
-        return spark.sparkContext.broadcast(found), key
-
-    first = _search(rows, *block(0), window, schema, hit_only=False)
-    if n_blocks == 1:
+    first = _search(rows, *blocks.shared(0), window, schema, hit_only=False)
+    if blocks.count == 1:
         return first.drop("text_key")
     # a key for rows without id, so that they meet their own hits
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_key")
-    rest = reduce(DataFrame.unionByName, [_search(rows, *block(i), window, schema, hit_only=True) for i in range(1, n_blocks)])
+    rest = reduce(DataFrame.unionByName, [_search(rows, *blocks.shared(i), window, schema, hit_only=True) for i in range(1, blocks.count)])
     more = (
         rest.select(name, "text_key", "spans", "items")
         .groupBy("doc_key", "text_key")
@@ -233,6 +239,34 @@ def contamination(
     )
 
 
+def keep_clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows, all columns, in which no window of the benchmark occurs. No shuffle; one pass for each block of patterns."""
+    blocks = _Blocks(benchmark, item_col, item_text_col, window, block_bytes)
+    place = docs.columns.index(text_col)
+
+    def passed(rows: DataFrame, shared, key: str) -> DataFrame:
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            patterns = _patterns(shared, key, window)
+            clean = [not patterns.hits(words_of((t or "").encode()))[1] for t in batch.column(place).to_pylist()]
+            return batch.filter(pa.array(clean, pa.bool_()))
+
+        return map_batches(rows, run, rows.schema)
+
+    for i in range(blocks.count):
+        docs = passed(docs, *blocks.shared(i))
+        if i + 1 < blocks.count:
+            docs = stored(docs, "decontaminated")
+    return docs
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The result columns of the query, from ``contamination``."""
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])

@@ -232,11 +232,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Empty texts are linked with nothing and all stay, apart from such repeated rows.
     """
     found = near_duplicates(docs, id_col, text_col, **options)
-    kept = found.where("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_doc_key"), F.col("text_key").alias("_text_key")).distinct()
-    keyed = docs.withColumns(
-        {"_doc_key": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_text_key": F.unhex(F.md5(text_bytes(docs, text_col)))}
+    kept = found.where("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_key"), "text_key").distinct()
+    keyed = docs.select(
+        F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("doc_key"), F.unhex(F.md5(text_bytes(docs, text_col))).alias("text_key")
     )
-    return keyed.join(kept, ["_doc_key", "_text_key"], "left_semi").dropDuplicates(["_doc_key", "_text_key"]).drop("_doc_key", "_text_key")
+    return keyed.join(kept, ["doc_key", "text_key"], "left_semi").dropDuplicates(["doc_key", "text_key"]).select("row.*")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -226,6 +226,50 @@ def personal_data(
     )
 
 
+def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", **options) -> DataFrame:
+    """The rows, all columns, with every span replaced by its kind in brackets. ``length_col``, if there, is counted anew."""
+    found = (
+        personal_data(docs, id_col, text_col, **options)
+        .where(F.size("spans") > 0)
+        .select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_key"), "text_key", F.array_sort("spans", _earlier).alias("spans"))
+        .dropDuplicates(["doc_key", "text_key"])
+    )
+    text = F.col(f"row.`{text_col}`")
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("doc_key"),
+        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_key"),
+    ).join(found, ["doc_key", "text_key"], "left")
+    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def step(done: Column, span: Column) -> Column:
+        fresh = span["start"] >= done["at"]
+        between = F.when(fresh, F.substring(text, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))).otherwise("")
+        tag = F.when(fresh, F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))).otherwise("")
+        return F.struct(F.greatest(done["at"], span["end"]).alias("at"), F.concat(done["out"], between, tag).alias("out"))
+
+    clean = F.aggregate("spans", begin, step, lambda done: F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text))))
+    changed = rows.select("row", F.when(F.col("spans").isNull(), text).otherwise(clean).alias("clean"))
+
+    def column(name: str) -> Column:
+        if name == text_col:
+            return F.col("clean").alias(name)
+        if name == length_col:
+            kind = docs.schema[name].dataType
+            return F.when(F.col("clean").isNotNull(), F.length("clean").cast(kind)).otherwise(F.col(f"row.`{name}`")).alias(name)
+        return F.col(f"row.`{name}`").alias(name)
+
+    return changed.select(*[column(c) for c in docs.columns])
+
+
+def _earlier(a: Column, b: Column) -> Column:
+    """By start, the longer first."""
+    return (
+        F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1)
+        .when(a["end"] > b["end"], -1).when(a["end"] < b["end"], 1).otherwise(0)
+    )
+
+
 def _ordered(spans: Column) -> Column:
     """By kind as listed, then start."""
     return F.flatten(F.array(*[F.array_sort(F.filter(spans, _is(kind))) for kind in KINDS]))

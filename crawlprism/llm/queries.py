@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from crawlprism.llm import bpe, decontaminate, language_id, licences, near_dup, pii, quality, suffix_dedup, token_files, warc
 from crawlprism.llm.common import bound_batches, table
 from crawlprism.registry.base import Query
@@ -25,6 +26,9 @@ def _add(name: str, sql: str | None = None):
     return register
 
 
+_add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
+
+
 @_add("op1_licences")
 def op1(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
