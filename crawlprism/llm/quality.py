@@ -51,15 +51,15 @@ def _covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def _counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each position how often its key occurs, and one position of the most frequent key (ties: smallest key)."""
+def _counts(keys: np.ndarray) -> np.ndarray:
+    """For each position how often its key occurs."""
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
     first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
     sizes = np.diff(np.append(first, len(ranked)))
     out = np.empty(len(keys), np.int64)
     out[order] = np.repeat(sizes, sizes)
-    return out, order[first[np.argmax(sizes)]]
+    return out
 
 
 def measure(text: bytes) -> dict:
@@ -108,12 +108,14 @@ def measure(text: bytes) -> dict:
                 keys = np.unique(np.stack([codes[:-2], codes[1:-1], codes[2:]]), axis=1, return_inverse=True)[1].ravel()
         else:
             keys = rolled
-        counts, top = _counts(keys)
+        counts = _counts(keys)
         repeated = counts > 1
         if length == REPEAT_WINDOW:
             row["n_repeat_words"] = int(_covered(repeated, length, n).sum())
-        if length in TOP_NGRAM and repeated[top]:
-            share = float(sizes[_covered(keys == keys[top], length, n)].sum() / total)
+        if length in TOP_NGRAM and repeated.any():
+            # of equally frequent n-grams the one that comes first
+            top = keys == keys[np.argmax(counts)]
+            share = float(sizes[_covered(top, length, n)].sum() / total)
             row["top_ngram_share"] = max(row["top_ngram_share"], share)
             over |= share > TOP_NGRAM[length]
         if length in DUPLICATED_NGRAM:
