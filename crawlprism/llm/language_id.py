@@ -55,7 +55,7 @@ def code_points(text: str) -> np.ndarray:
 
 
 class Automaton:
-    """A suffix automaton as a dense table: state and symbol to state, 0 for no match. State 1 is the start."""
+    """A suffix automaton as a dense table: state and symbol to state, 0 for no match. State 1 is the empty match."""
 
     def __init__(self, symbols: list[int], n_symbols: int):
         step: list[dict[int, int]] = [{}, {}]
@@ -89,14 +89,14 @@ class Automaton:
                 self.table[state, c] = to
         self.table[:, UNKNOWN] = 0
         self.table[0] = 0
-        self.root = np.where(self.table[1] > 0, self.table[1], 1).astype(np.int32)
+        self.root = self.table[1].copy()
         self.flat = self.table.ravel()
         self.width = n_symbols
 
     def phrases(self, lanes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each lane; ``lanes`` is (time, lane), the lanes in descending order of length."""
         n = lanes.shape[1]
-        state = np.ones(n, np.int32)
+        state = np.zeros(n, np.int32)  # from state 0 every symbol begins a phrase; an unknown one is a phrase by itself
         count = np.zeros(n, np.int32)
         alive = np.searchsorted(-lengths, -np.arange(lanes.shape[0]), side="left")
         for t in range(lanes.shape[0]):
@@ -108,7 +108,7 @@ class Automaton:
             broken = to == 0
             count[:k] += broken
             state[:k] = np.where(broken, self.root[c], to)
-        return count + (lengths > 0)
+        return count
 
 
 class Model:
