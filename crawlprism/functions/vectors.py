@@ -36,6 +36,49 @@ def sparse_norm(parts: Column) -> Column:
     return F.sqrt(_sum(F.transform(parts["values"], lambda v: v * v)))
 
 
+# Stands between a term and its weight; below any character of a token.
+_MARK = "\x01"
+
+
+def weighted_terms(sorted_tokens: Column) -> Column:
+    """One entry ``term MARK count`` per distinct term of a *sorted* token list, given as a plain column."""
+    n = F.size(sorted_tokens)
+    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(
+        places, lambda i: (i == 1) | (F.get(sorted_tokens, i - 1) != F.get(sorted_tokens, i - 2))
+    )
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(n + 1))
+    return F.zip_with(
+        starts, ends, lambda a, b: F.concat(F.get(sorted_tokens, a - 1), F.lit(_MARK), (b - a).cast("string"))
+    )
+
+
+def term_norm_and_dot(tokens: Column, weighted: Column) -> Column:
+    """``struct(norm2, dot)`` of a token list and the weighted terms of another, in one fold over both, sorted together.
+
+    A weighted term sorts right behind the tokens that equal it, so the run of the token
+    is complete when its weight comes.
+    """
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(F.lit(None).cast("string").alias("term"), zero.alias("run"), zero.alias("norm2"), zero.alias("dot"))
+
+    def step(acc: Column, entry: Column) -> Column:
+        is_weight = F.contains(entry, F.lit(_MARK))
+        term = F.when(is_weight, F.substring_index(entry, _MARK, 1)).otherwise(entry)
+        same = acc["term"].eqNullSafe(term)
+        run = F.when(is_weight, F.when(same, acc["run"]).otherwise(zero)).otherwise(F.when(same, acc["run"] + 1).otherwise(zero + 1))
+        weight = F.when(is_weight, F.substring_index(entry, _MARK, -1)).otherwise("0").cast("bigint")
+        return F.struct(
+            term.alias("term"),
+            run.alias("run"),
+            (acc["norm2"] + F.when(is_weight, zero).otherwise(2 * run - 1)).alias("norm2"),
+            (acc["dot"] + F.when(is_weight, run * weight).otherwise(zero)).alias("dot"),
+        )
+
+    together = F.sort_array(F.concat(tokens, weighted))
+    return F.aggregate(together, start, step, lambda acc: F.struct(acc["norm2"].alias("norm2"), acc["dot"].alias("dot")))
+
+
 def squared_term_norm(tokens: Column) -> Column:
     """Sum of squared term counts of one token list.
 

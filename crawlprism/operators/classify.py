@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 
 from crawlprism.operators import features as FT
 from crawlprism.operators import metrics
+from crawlprism.session import cut_lineage
 
 HEURISTIC_FEATURES = ["num_density", "has_any_census"]
 
-# A training set this small spends its iterations on scheduling when it is spread widely.
-SMALL_TRAINING_ROWS = 10_000
-SMALL_TRAINING_TASKS = 4
-
 # Training settings.
 SETTINGS = {
     "svm": (LinearSVC, {"maxIter": 50, "regParam": 0.1}),
@@ -48,11 +45,7 @@ def heuristic_doubles(df: DataFrame) -> DataFrame:
 def train(df: DataFrame, kind: str = "lr", text_col: str = "text_norm", include_heuristics: bool = False) -> PipelineModel:
     """Fit on rows with ``label`` and ``class_weight``. Only the needed columns reach the iterations."""
     needed = ["label", "class_weight", text_col, *(HEURISTIC_FEATURES if include_heuristics else [])]
-    rows = heuristic_doubles(df).select(*needed)
-    # the probe stops at the bound, so on a large set it reads the first partitions only
-    if len(rows.select("label").take(SMALL_TRAINING_ROWS + 1)) <= SMALL_TRAINING_ROWS:
-        rows = rows.coalesce(SMALL_TRAINING_TASKS)
-    return Pipeline(stages=stages(kind, text_col, include_heuristics)).fit(rows)
+    return Pipeline(stages=stages(kind, text_col, include_heuristics)).fit(heuristic_doubles(df).select(*needed))
 
 
 def class_names(model: PipelineModel) -> list[str]:
@@ -77,7 +70,11 @@ class Evaluation:
 
 
 def evaluate(scored: DataFrame, positive: str = "repackages") -> Evaluation:
-    """AUC, weighted F1, the confusion matrix, and precision and recall of one named class."""
+    """AUC, weighted F1, the confusion matrix, and precision and recall of one named class.
+
+    The four passes read the scores from a checkpoint and do not score again.
+    """
+    scored = cut_lineage(scored.select("label", "label_idx", "rawPrediction", "prediction", "predicted_label"))
     auc = BinaryClassificationEvaluator(
         labelCol="label_idx", rawPredictionCol="rawPrediction", metricName="areaUnderROC"
     ).evaluate(scored)

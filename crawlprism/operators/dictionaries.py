@@ -70,7 +70,7 @@ CENSUS_SIGNALS = {
     # decennial programme
     "decennial_census": r"\b(decennial\s+census|census\s+20\d{2}|population\s+and\s+housing\s+census)\b",
     "sf_summary_files": r"\b(summary\s+file\s*(?:1|2)|sf(?:1|2)\b)",
-    "redistricting_pl94": "\\b(p\\.?l\\.?\\s*94[-–]171|redistricting\\s+data)\\b",
+    "redistricting_pl94": r"\b(p\.?l\.?\s*94[-–]171|redistricting\s+data)\b",
     "pums": r"\b(public\s+use\s+microdata\s+sample|pums)\b",
     "short_long_form": r"\b(short\s+form|long\s+form)\b",
     # economic programmes
@@ -107,7 +107,6 @@ MIN_TEXT_LENGTH = 100
 
 # --- fixed values: survey patterns over raw text -----------------------------------
 
-_TABLE_ID = r"S\d{4}(?:PR)?|DP0?\d{2,3}|CP0?\d{2,3}|[BC]\d{5}(?:PR)?(?:[A-Z]{1,3}|_?MOE)?"
 _CITE = r"(source|according\s+to|data\s+from|using(?:\s+the)?\s+data\s+from|as\s+reported\s+by|via|cites?)"
 _TOPIC = r"(census|american\s+community\s+survey|ACS|S\d{4}|DP0?\d{2,3}|CP0?\d{2,3}|[BC]\d{5})"
 
@@ -116,7 +115,9 @@ ACS_SIGNALS = {
     "acs_links": r"(?i)\b(?:https?://)?(?:www\.)?(?:data\.)?census\.gov\S*|\bwww2\.census\.gov\S*|\bapi\.census\.gov\S*",
     "acs_subject_tables": r"(?i)\bS\d{4}(?:PR)?\b|\bDP0?\d{2,3}\b|\bCP0?\d{2,3}\b",
     "acs_detail_tables": r"(?i)\b[BC]\d{5}(?:PR)?(?:[A-Z]{1,3}|_?MOE)?\b",
-    "acs_table_word": rf"(?i)\btable(?:s)?\s*(?:{_TABLE_ID})\b",
+    "acs_table_word": (
+        r"(?i)\btable(?:s)?\s*(?:S\d{4}(?:PR)?|DP0?\d{2,3}|CP0?\d{2,3}|[BC]\d{5}(?:PR)?(?:[A-Z]{1,3}|_?MOE)?)\b"
+    ),
     "acs_near_moe": r"(?i)\b(MOE|margin\s+of\s+error)\b",
     "acs_cite_verbs": (
         r"(?i)\b(source|according\s+to|data\s+from|using(?:\s+the)?\s+data\s+from"

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlprism.operators import dictionaries as D
-from crawlprism.session import broadcast_if_small
 
 NUM_FEATURES = 2**12
 
@@ -40,11 +39,11 @@ def with_class_weight(
 ) -> DataFrame:
     """Attach the weight of each row's class; a class without a weight gets 1.0.
 
-    The weight table has one row per class and is broadcast after its size is
-    measured: a shuffle on the label would put a majority class into one task.
+    The weight table has one row per class. Adaptive execution broadcasts it when it
+    turns out small, and splits a majority class when it does not.
     """
     weights = class_weights(df, label_col) if weights is None else weights
-    joined = df.join(broadcast_if_small(weights), label_col, "left")
+    joined = df.join(weights, label_col, "left")
     return joined.withColumn("class_weight", F.coalesce("class_weight", F.lit(1.0)))
 
 

@@ -49,12 +49,15 @@ def site_presence(
     def on_site(site: str) -> Column:
         return F.col(uri_col).contains(site) if literal else F.col(uri_col).rlike(site)
 
+    # one search per site: the flags come out of a generator, which keeps them from being copied into the counters
+    flags = F.struct(F.col("label").alias("label"), *[on_site(site).alias(f"f{i}") for i, site in enumerate(sites)])
+    flagged = df.select(F.inline(F.transform(F.array(F.lit(0)), lambda _: flags)))
     counters = {}
-    for i, site in enumerate(sites):
-        counters[f"s{i}_all"] = F.count_if(on_site(site))
+    for i, _ in enumerate(sites):
+        counters[f"s{i}_all"] = F.count_if(f"f{i}")
         for j, label in enumerate(labels):
-            counters[f"s{i}_{j}"] = F.count_if(on_site(site) & (F.col("label") == label))
-    one = df.agg(*[c.alias(name) for name, c in counters.items()])
+            counters[f"s{i}_{j}"] = F.count_if(F.col(f"f{i}") & (F.col("label") == label))
+    one = flagged.agg(*[c.alias(name) for name, c in counters.items()])
     lines = [
         F.struct(
             F.lit(site).alias("site"),

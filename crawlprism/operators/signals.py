@@ -67,30 +67,47 @@ def filter_by_domain(
     return df.where(in_domains(url_col, tlds))
 
 
+def _keywords(lists: dict[str, list[str]]) -> list[tuple[str, str]]:
+    return [(name, word) for name, words in lists.items() for word in words]
+
+
 def keyword_hits(
     df: DataFrame,
     id_cols: list[str],
     text_col: str = "content",
     lists: dict[str, list[str]] = D.KEYWORD_LISTS,
     escape: bool = False,
+    misses: bool = False,
 ) -> DataFrame:
-    """Long form: one row per (page, list, keyword) with a ``hit`` flag. No join is involved."""
+    """Long form: one row per (page, list, keyword) that the page mentions; with ``misses`` one row for every keyword.
+
+    Only hits leave the row; no join is involved.
+    """
 
     def entries(t: Column) -> Column:
         return F.array(
             *[
-                F.struct(
-                    F.lit(name).alias("list_name"),
-                    F.lit(word).alias("keyword"),
-                    mentions(t, [word], escape).alias("hit"),
-                )
-                for name, words in lists.items()
-                for word in words
+                F.struct(F.lit(name).alias("list_name"), F.lit(word).alias("keyword"), mentions(t, [word], escape).alias("hit"))
+                for name, word in _keywords(lists)
             ]
         )
 
-    hits = X.let(F.lower(F.col(text_col)), entries)
-    return df.select(*id_cols, F.inline(hits))
+    every = X.let(F.lower(F.col(text_col)), entries)
+    return df.select(*id_cols, F.inline(every if misses else F.filter(every, lambda e: e["hit"])))
+
+
+def keyword_counts(
+    df: DataFrame, text_col: str = "content", lists: dict[str, list[str]] = D.KEYWORD_LISTS, escape: bool = False
+) -> DataFrame:
+    """Pages per (list, keyword), zeros included. One row of counters is aggregated and then turned."""
+    pairs = _keywords(lists)
+    lowered = df.select(F.inline(F.array(F.struct(F.lower(F.col(text_col)).alias("_lowered")))))
+    one = lowered.agg(*[F.count_if(mentions(F.col("_lowered"), [w], escape)).alias(f"k{i}") for i, (_, w) in enumerate(pairs)])
+    rows = [
+        F.struct(F.lit(n).alias("list_name"), F.lit(w).alias("keyword"), F.col(f"k{i}").alias("pages"))
+        for i, (n, w) in enumerate(pairs)
+    ]
+    return one.select(F.inline(F.array(*rows)))
 
 
 # --- regex signals --------------------------------------------------------------------

@@ -7,18 +7,27 @@ from pyspark.sql import functions as F
 
 from crawlprism.functions import vectors as V
 from crawlprism.operators.sampling import first_per_group
-from crawlprism.session import broadcast_if_small
 
 
 def one_page_per_uri(
-    df: DataFrame, uri_col: str = "target_uri", text_col: str = "text_norm", tiebreak: str = "record_id"
+    df: DataFrame,
+    uri_col: str = "target_uri",
+    text_col: str = "text_norm",
+    tiebreak: str = "record_id",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """The longest version of each page.
 
     Only each task's best row per URI is shuffled, so a URI with very many copies
-    costs no more than one row per task.
+    costs no more than one row per task. ``keep`` names the columns wanted beside the URI and
+    the tiebreak: the text is then measured where it is and not shuffled. ``length(text)`` is
+    given as ``n_text``.
     """
-    return first_per_group(df, [uri_col], [F.desc(F.length(text_col)), F.col(tiebreak)])
+    ranked = df.withColumn("n_text", F.length(text_col))
+    if keep is not None:
+        ranked = ranked.select(*dict.fromkeys([uri_col, tiebreak, *keep]), "n_text")
+    best = first_per_group(ranked, [uri_col], [F.desc("n_text"), F.col(tiebreak)])
+    return best if keep is not None else best.drop("n_text")
 
 
 def find_anchor(df: DataFrame, uri: str, uri_col: str = "target_uri") -> DataFrame:
@@ -81,34 +90,28 @@ def with_hashed_cosine(
 
 
 def term_cosine(df: DataFrame, anchor: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataFrame:
-    """(id, cosine) over raw term counts for every page, zero when no term is shared.
+    """(id, cosine) over raw term counts for every row, zero when no term is shared.
 
-    A page's own norm comes from its token list, so no (page, term) table is shuffled.
-    The dot product needs no term counts either: each occurrence of a term adds the
-    anchor's count. Tokens meet the anchor's terms in a broadcast join - the terms of
-    one page, measured - and sum up per page before the shuffle.
+    ``anchor`` has one row; its terms and their counts are a scalar subquery. A row's norm and
+    its dot product come from one fold over its own tokens, so rows are neither exploded nor
+    shuffled, and rows that share an id stay apart.
     """
-    # the norm has its own projection: beside the explode it would run once per token
-    page = df.select(
-        F.col(id_col).alias("_id"),
-        V.squared_term_norm(F.col(tokens_col)).alias("_norm2"),
-        F.col(tokens_col).alias("_tokens"),
-    ).select("_id", "_norm2", F.explode_outer("_tokens").alias("term"))
-    counts = (
-        anchor.select(F.explode(tokens_col).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("weight"))
-    )
-    anchor_norm2 = anchor.select(V.squared_term_norm(F.col(tokens_col)).alias("n2")).scalar()
-    dots = (
-        page.join(broadcast_if_small(counts), "term", "left")
-        .groupBy("_id", "_norm2")
-        .agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("_dot"))
-        .withColumn("_anchor_norm2", anchor_norm2)
-    )
-    norms = F.sqrt(F.col("_norm2").cast("double")) * F.sqrt(F.col("_anchor_norm2").cast("double"))
-    return dots.select(
-        F.col("_id").alias(id_col), F.when(norms > 0, F.col("_dot") / norms).alias("cosine_to_anchor")
+    return with_term_cosine(df.select(id_col, tokens_col), anchor, tokens_col).select(id_col, "cosine_to_anchor")
+
+
+def with_term_cosine(
+    df: DataFrame, anchor: DataFrame, tokens_col: str = "tokens", out_col: str = "cosine_to_anchor"
+) -> DataFrame:
+    """Adds the cosine of ``term_cosine``."""
+    one = anchor.select(F.sort_array(tokens_col).alias("_sorted"))
+    terms = one.select(V.weighted_terms(F.col("_sorted")).alias("t")).scalar()
+    norm2 = anchor.select(V.squared_term_norm(F.col(tokens_col)).alias("n")).scalar()
+    norms = F.sqrt(F.col("_both.norm2").cast("double")) * F.sqrt(F.col("_anchor_norm2").cast("double"))
+    return (
+        df.withColumns({"_terms": terms, "_anchor_norm2": norm2})
+        .withColumn("_both", V.term_norm_and_dot(F.col(tokens_col), F.col("_terms")))
+        .withColumn(out_col, F.when(norms > 0, F.col("_both.dot") / norms))
+        .drop("_terms", "_anchor_norm2", "_both")
     )
 
 
@@ -124,5 +127,6 @@ __all__ = [
     "term_cosine",
     "with_dense_cosine",
     "with_hashed_cosine",
+    "with_term_cosine",
     "without_host",
 ]

@@ -21,10 +21,10 @@ def train_and_evaluate(
 
 def similar_pages(gold: DataFrame, anchor_uri: str, k: int = 20) -> DataFrame:
     """The ``k`` pages most similar to the anchor, outside the anchor's host."""
-    unique = similarity.one_page_per_uri(
+    shown = ["label", "cosine_to_anchor", "num_density", "has_any_census"]
+    vectors = features.hashed_terms(
         gold.select("record_id", "target_uri", "label", "num_density", "has_any_census", "text_norm")
     )
-    vectors = features.hashed_terms(unique)
     # the anchor is looked up among its own URI's rows, not in the de-duplicated corpus
     own = gold.where(F.col("target_uri") == anchor_uri)
     similarity.find_anchor(own, anchor_uri)
@@ -32,6 +32,6 @@ def similar_pages(gold: DataFrame, anchor_uri: str, k: int = 20) -> DataFrame:
     scored = similarity.with_hashed_cosine(
         similarity.without_host(vectors, similarity.anchor_host(anchor_uri)), anchor, features.NUM_FEATURES
     )
-    return similarity.most_similar(
-        scored.select("target_uri", "label", "cosine_to_anchor", "num_density", "has_any_census", "record_id"), k
-    ).drop("record_id")
+    # every version is scored where it is; one row per page is chosen without moving text
+    unique = similarity.one_page_per_uri(scored, keep=shown)
+    return similarity.most_similar(unique.select("target_uri", *shown, "record_id"), k).drop("record_id")

@@ -32,7 +32,7 @@ def flag_records(
     Cheap tests come first, so the keyword search runs on kept pages of wanted domains only.
     """
     clean = F.col("parsed") & (F.col("rec_type") != "warcinfo")
-    kept = F.col("content_length").try_cast("int") > min_length
+    kept = F.col("content_length").try_cast("bigint") > min_length
     keyword = X.let(F.lower("content"), lambda t: mentions(t, keywords))
     flagged = records.withColumn("clean", F.coalesce(clean, F.lit(False)))
     flagged = flagged.withColumn("kept", F.coalesce(F.col("clean") & kept, F.lit(False)))

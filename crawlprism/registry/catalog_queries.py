@@ -137,14 +137,14 @@ def _(spark, sf):
     "crawl_union_missing_cols",
     f"""{WITH} SELECT obj_key, size, strftime(crawl_start, '{STAMP}') AS crawl_start FROM dated
         WHERE contains(obj_key, 'wet')
-        UNION ALL SELECT obj_key, size, NULL FROM dated WHERE contains(obj_key, '.wat.')""",
+        UNION ALL SELECT obj_key, size, NULL FROM dated WHERE NOT contains(obj_key, 'wet')""",
 )
 def _(spark, sf):
     m = crawl_manifest(spark, sf).select("obj_key", "size")
     wet = M.with_crawl_times(m.where(F.col("obj_key").contains("wet"))).select(
         "obj_key", "size", _text("crawl_start")
     )
-    return joins.union_all([wet, m.where(F.col("obj_key").contains(".wat."))])
+    return joins.union_all([wet, m.where(~F.col("obj_key").contains("wet"))])
 
 
 @registry.add(
@@ -157,6 +157,23 @@ def _(spark, sf):
     return M.ingest_crawls(m, wanted).select("obj_key", "size", "crawl_prefix")
 
 
+@registry.add(
+    "crawl_listing_deep",
+    f"""{WITH}, wanted AS (
+          SELECT DISTINCT crawl_prefix AS p FROM dated WHERE contains(crawl_prefix, 'MAIN-1997-0')
+          UNION SELECT DISTINCT regexp_extract(obj_key, '^([^/]+/[^/]+/[^/]+/[^/]+/)', 1) FROM dated
+          WHERE contains(obj_key, '/segments/1'))
+        SELECT obj_key, size, p AS crawl_prefix FROM dated JOIN wanted ON starts_with(obj_key, p)""",
+)
+def _(spark, sf):
+    m = crawl_manifest(spark, sf)
+    crawls = M.master_indexes(m).where(F.col("master_index").contains("MAIN-1997-0"))
+    segments = m.where(F.col("obj_key").contains("/segments/1")).select(
+        F.concat(F.substring_index("obj_key", "/", 4), F.lit("  ")).alias("master_index")
+    )
+    return M.ingest_crawls(m, crawls.unionAll(segments)).select("obj_key", "size", "crawl_prefix")
+
+
 @registry.add(
     "crawl_listing_json",
     f"""{WITH} SELECT '{{"obj_key":"' || obj_key || '","size":' || size || '}}' AS json FROM dated
@@ -199,9 +216,3 @@ def _(spark, sf):
 def _(spark, sf):
     days = crawl_manifest(spark, sf).select(F.date_format("last_modified", "yyyy-MM-dd").alias("file_day"))
     return joins.count_duplicate_keys(days, "file_day")
-
-
-@registry.add("object_manifest")
-def _(spark, sf):
-    listing = M.object_manifest(spark, sf, "*.parquet")
-    return listing.select(M.basename("obj_key").alias("file_name"), "size")

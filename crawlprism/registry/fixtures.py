@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlprism.session import spread_small_scan
-
 PHRASES = [
     "american community survey",
     "see data.census.gov and api.census.gov",
@@ -43,7 +41,7 @@ PHRASES = [
 
 def load(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     table = spark.read.parquet(f"{sf}/{name}.parquet")
-    return spread_small_scan(table.select(*columns) if columns else table)
+    return table.select(*columns) if columns else table
 
 
 def _pick(position: Column, values: list[str]) -> Column:

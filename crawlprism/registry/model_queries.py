@@ -140,8 +140,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     pages = corpus(spark, sf).withColumn("text_norm", X.normalize_text("content"))
-    return similarity.one_page_per_uri(pages).select(
-        "record_id", "target_uri", F.length("text_norm").cast("bigint").alias("n")
+    return similarity.one_page_per_uri(pages, keep=[]).select(
+        "record_id", "target_uri", F.col("n_text").cast("bigint").alias("n")
     )
 
 
@@ -198,18 +198,15 @@ def _(spark, sf):
 )
 def _(spark, sf):
     labelled = signals.label_pages(corpus(spark, sf)).select("record_id", "target_uri", "label", "text_norm")
-    # one page per URI is read for the anchor, the scores and the report
-    unique = cut_lineage(
-        similarity.one_page_per_uri(labelled).select(
-            "target_uri", "label", X.without_words(X.word_tokens("text_norm")).alias("tokens")
-        )
+    pages = labelled.withColumn("tokens", X.without_words(X.word_tokens("text_norm")))
+    first = labelled.agg(F.min("target_uri")).scalar()
+    marked = pages.withColumn("_anchor_uri", first)
+    anchor = similarity.one_page_per_uri(marked.where(F.col("target_uri") == F.col("_anchor_uri")))
+    # every version is scored where it is; the report then needs no text
+    outside = similarity.one_page_per_uri(
+        similarity.with_term_cosine(similarity.without_host(marked, authority("_anchor_uri")), anchor),
+        keep=["label", "cosine_to_anchor"],
     )
-    first = unique.agg(F.min("target_uri")).scalar()
-    marked = unique.withColumn("_anchor_uri", first)
-    anchor = marked.where(F.col("target_uri") == F.col("_anchor_uri"))
-    scored = similarity.term_cosine(unique, anchor, "target_uri")
-    rows = scored.join(marked.drop("tokens"), "target_uri")
-    outside = similarity.without_host(rows, authority("_anchor_uri"))
     return similarity.most_similar(
         outside.select("target_uri", "label", F.round("cosine_to_anchor", 6).alias("cosine_to_anchor")),
         tiebreak="target_uri",

@@ -59,8 +59,7 @@ _keyword_query("subject", D.SUBJECT_KEYWORDS, phrased, PHRASED_SQL, "phrased")
          FROM words, phrased GROUP BY ALL""",
 )
 def _(spark, sf):
-    hits = signals.keyword_hits(phrased(spark, sf), ["doc_id"])
-    return hits.groupBy("list_name", "keyword").agg(F.count_if("hit").alias("pages"))
+    return signals.keyword_counts(phrased(spark, sf))
 
 
 @registry.add(
@@ -70,7 +69,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     lists = {"subject": D.SUBJECT_KEYWORDS}
-    return signals.keyword_hits(phrased(spark, sf), ["doc_id"], lists=lists).where("hit").select("doc_id", "keyword")
+    return signals.keyword_hits(phrased(spark, sf), ["doc_id"], lists=lists).select("doc_id", "keyword")
 
 
 # --- regex signals ----------------------------------------------------------------------------

@@ -17,15 +17,9 @@ SETTINGS = {
 # Settings that only count before the session starts: checkpoints go when nothing refers to them.
 STARTUP_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
-# A side is broadcast only when its measured text is under this size.
-BROADCAST_BYTES = 32 * 1024 * 1024
-
 # Rows of one sorted partition stay near this size.
 PARTITION_BYTES = 256 * 1024 * 1024
 
-# Scans below this size may hold fewer row groups than there are cores.
-SMALL_SCAN_BYTES = 128 * 1024 * 1024
-
 
 def build_session(
     app: str = "crawlprism",
@@ -78,26 +72,3 @@ def width_for(df: DataFrame, target_bytes: int = PARTITION_BYTES) -> int:
     ]
     total = df.agg(F.sum(sum(widths, F.lit(16)).cast("bigint"))).first()[0] or 0
     return max(shuffle_width(df.sparkSession), -(-total // target_bytes))
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint behind a measurement; beyond the bound the join is left to shuffle.
-
-    The side is materialised once, then its width in JSON characters is summed by a
-    distributed aggregate; the driver receives that one number.
-    """
-    side = cut_lineage(df)
-    width = side.select(F.length(F.to_json(F.struct("*"))).alias("w")).agg(F.sum("w")).first()[0]
-    return F.broadcast(side) if (width or 0) <= max_bytes else side
-
-
-def spread_small_scan(df: DataFrame, max_bytes: int = SMALL_SCAN_BYTES) -> DataFrame:
-    """Give every core a share of a scan that is too small to be split by its files.
-
-    A file with one row group is read by one task whatever its splits say. Scans above
-    ``max_bytes`` have row groups enough and pass unchanged, without an exchange.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan()  # noqa: SLF001  (no public access to plan statistics)
-    if int(str(plan.stats().sizeInBytes())) > max_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *df.columns)

@@ -8,17 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlprism.functions import text as X
-from crawlprism.session import broadcast_if_small
 
 CRAWL_PREFIX = r"^(crawl-data/[^/]+/)"
 CRAWL_STAMPS = r"CC-MAIN-(\d{14})-(\d{14})-"
 
 
 def object_manifest(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
-    """One row per non-empty object below ``path``. Only metadata is read; the listing is distributed.
+    """One row per non-empty object below ``path``. Only metadata is read.
 
-    File scans leave out empty objects (folder markers, for example); there is nothing to
-    read in them.
+    Spark lists the files and keeps their index on the driver, so this is for folders. A whole
+    archive publishes path lists and inventories; read those as a table. File scans leave out
+    empty objects (folder markers, for example).
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
@@ -76,20 +76,31 @@ def prefix_list(df: DataFrame, column: str, position: str) -> DataFrame:
     )
 
 
+def ancestor_prefixes(key: Column | str = "obj_key") -> Column:
+    """Every prefix of a key that ends in a slash, at most one for each level."""
+    key = F.col(key) if isinstance(key, str) else key
+    parts = F.split(key, "/")
+    depth = F.size(parts) - 1
+    levels = F.when(depth > 0, F.sequence(F.lit(1), depth)).otherwise(F.array().cast("array<int>"))
+    return F.transform(levels, lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
+
+
 def ingest_crawls(manifest: DataFrame, prefixes: DataFrame | Iterable[str], key_col: str = "obj_key") -> DataFrame:
-    """Objects below any of the prefixes, tagged with the prefix.
+    """Objects below any of the prefixes, tagged with the prefix that was asked for.
 
-    One scan of the manifest replaces a listing per prefix. The prefix list is
-    broadcast only when it measures small; prefixes without objects add nothing.
+    A prefix may have any depth. One scan of the manifest replaces a listing per prefix: a key meets
+    the prefixes by equality with its own ancestors. An object below two of the prefixes comes once
+    for each; prefixes without objects add nothing.
     """
-    tagged = manifest.withColumn("crawl_prefix", crawl_prefix(key_col))
     if isinstance(prefixes, DataFrame):
         wanted = prefixes.select(clean_prefix(prefixes.columns[0]).alias("crawl_prefix")).distinct()
-        return tagged.join(broadcast_if_small(wanted), "crawl_prefix", "left_semi").select(*tagged.columns)
+        below = manifest.withColumn("crawl_prefix", F.explode(ancestor_prefixes(key_col)))
+        return below.join(wanted, "crawl_prefix", "left_semi").select(*manifest.columns, "crawl_prefix")
     wanted = sorted({normalize_prefix(p.strip()) for p in prefixes})
     if not wanted:
         raise RuntimeError("no crawl prefixes given")
-    return tagged.where(F.col("crawl_prefix").isin(wanted))
+    found = F.array_intersect(ancestor_prefixes(key_col), F.array(*[F.lit(p) for p in wanted]))
+    return manifest.withColumn("crawl_prefix", F.explode(found))
 
 
 def require_rows(df: DataFrame) -> DataFrame:

@@ -85,7 +85,8 @@ def parse_all(
     text = F.concat(F.lit("\n"), _unix_lines(F.col(text_col)))
     parts = df.select(*keep, F.inline(F.transform(F.array(text), cut_head)))
     cut = F.split("_text", _LENGTH_THEN_BLANK, 2)
-    regular = F.col("_head").rlike(_LENGTH_LAST)
+    # a record that breaks off within its headers has no blank line and does not parse
+    regular = F.col("_head").rlike(_LENGTH_LAST) & F.contains("_text", F.lit("\n\n"))
     block = F.when(regular, F.regexp_replace("_head", _LENGTH_LAST, "")).when(
         F.size(cut) > 1, F.get(cut, 0)
     )
@@ -130,4 +131,4 @@ def wet_records(spark: SparkSession, paths: str | list[str], newline: str = "\r\
 
 def longer_than(df: DataFrame, minimum: int = 30, col: str = "content_length") -> DataFrame:
     """Numeric test on the textual length; text that is no integer fails it."""
-    return df.where(F.col(col).try_cast("int") > minimum)
+    return df.where(F.col(col).try_cast("bigint") > minimum)

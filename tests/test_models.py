@@ -60,15 +60,6 @@ def test_unknown_class_weighs_one(spark):
     assert sorted((r["label"], r["class_weight"]) for r in rows) == [("a", 1.0), ("a", 1.0), ("b", 2.0), ("c", 1.0)]
 
 
-def test_weights_beyond_the_bound_are_not_broadcast(spark, plan):
-    from crawlprism.session import broadcast_if_small
-
-    df = spark.range(1000)
-    for limit, hinted in ((10, False), (10**6, True)):
-        joined = df.join(broadcast_if_small(df.select("id"), limit), "id")
-        assert ("ResolvedHint" in joined._jdf.queryExecution().analyzed().toString()) is hinted
-
-
 def test_tokens_equal_the_ml_stages(spark, sf):
     docs = load(spark, sf, "documents", "doc_id", "text")
     staged = features.stop_word_remover().transform(features.tokenizer("text").transform(docs))
@@ -103,6 +94,17 @@ def test_term_cosine_against_brute_force(spark, sf):
         assert r["cosine_to_anchor"] == (pytest.approx(want) if want is not None else None)
 
 
+def test_term_cosine_of_repeated_rows(spark, plan):
+    """Rows that share an id are scored each for itself, without an explode."""
+    df = spark.createDataFrame(
+        [(1, ["a", "b", "a"]), (1, ["a", "b", "a"]), (1, ["c"]), (2, []), (2, ["b"])], "i int, tokens array<string>"
+    )
+    scores = similarity.term_cosine(df, df.where("i = 1").limit(1), "i")
+    got = sorted((r[0], -1 if r[1] is None else round(r[1], 6)) for r in scores.collect())
+    assert got == [(1, 0.0), (1, 1.0), (1, 1.0), (2, -1), (2, 0.447214)]
+    assert "Generate" not in plan(scores)
+
+
 def test_hashed_cosine_against_vectors(spark, sf):
     vectors = features.hashed_terms(load(spark, sf, "documents", "doc_id", "text"), "text")
     local = {r["doc_id"]: r["tf_raw"] for r in vectors.collect()}

@@ -1,5 +1,7 @@
 """Table loads end to end, streams, and the shape of every registered plan."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from crawlprism.plans import catalog, gold, silver
 from crawlprism.registry import registry
 from crawlprism.registry.fixtures import corpus, crawl_manifest, record_texts
 from crawlprism.schemas import MANIFEST_COLUMNS
-from crawlprism.session import checkpoint_dir, spread_small_scan
+from crawlprism.session import checkpoint_dir
 from crawlprism.sources import manifest as M
 from crawlprism.sources import tables
 from crawlprism.sources.wet import parse_all, record_separator
@@ -244,8 +246,14 @@ def test_pushdown(spark, sf, plan):
     assert "html" not in text
 
 
-def test_only_small_scans_are_spread(spark, sf, plan):
-    scan = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    assert "REPARTITION" in plan(spread_small_scan(scan))
-    assert "Exchange" not in plan(spread_small_scan(scan, max_bytes=1000))
-    assert spread_small_scan(scan).count() == scan.count()
+def test_no_scan_is_redistributed(spark, sf, plan):
+    for query in ("lang_english_only", "keyword_subject", "min_length_filter"):
+        assert "REPARTITION" not in plan(registry[query].build(spark, sf))
+
+
+def test_no_size_switches():
+    package = Path(__file__).resolve().parent.parent / "crawlprism"
+    for folder in ("operators", "plans", "sources", "streaming", "functions", "registry"):
+        for file in (package / folder).glob("*.py"):
+            text = file.read_text()
+            assert ".coalesce(" not in text.replace("F.coalesce(", "") and ".take(" not in text and "_jdf" not in text, file
