@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,9 @@ from crawlprism.functions import text as X
 # columns ``label`` (None when there is no prediction) and ``prob``, row for row.
 Predictor = Callable[[pd.Series], pd.DataFrame]
 
+# Builds a predictor, once in each worker process. Use it for models that are too large to send with a task.
+PredictorFactory = Callable[[], Predictor]
+
 DEBUG_COLUMNS = (
     "accepted_chunks",
     "en_votes",
@@ -122,39 +126,93 @@ def model_chunks(text: Column, chunk_size: int, step: int | None, min_chunk_char
     return F.filter(chunks, lambda c: F.length(c) >= min_chunk_chars)
 
 
-def _predict(predictor: Predictor, chunks: Column) -> Column:
-    """Label, probability and diacritic ratio per chunk. Arrow batches; each worker flattens its own."""
+_LOADED: dict[str, Predictor | None] = {}
+
+
+def _loaded(token: str, factory: PredictorFactory) -> Predictor | None:
+    """The worker's predictor; None when it cannot be built, which leaves every page to the heuristic."""
+    if token not in _LOADED:
+        try:
+            _LOADED[token] = factory()
+        except Exception:  # noqa: BLE001  (a model that does not load is no reason to lose the load)
+            _LOADED[token] = None
+    return _LOADED[token]
+
+
+def _marks(s: str) -> float:
+    import unicodedata
+
+    if s.isascii():
+        return 0.0
+    decomposed = unicodedata.normalize("NFD", s)
+    return sum(unicodedata.category(ch) == "Mn" for ch in decomposed) / max(1, len(s))
+
+
+def _guesses(predictor: Predictor, texts: list[str]) -> list[tuple[str | None, float | None]]:
+    """(label, probability) of each chunk. When a batch fails its chunks are tried alone; one that fails has no vote."""
+
+    def ask(some: list[str]) -> list[tuple[str | None, float | None]]:
+        found = predictor(pd.Series(some, dtype=object))
+        return [
+            (None if label is None or pd.isna(label) else str(label), None if prob is None or pd.isna(prob) else float(prob))
+            for label, prob in zip(found["label"], found["prob"], strict=True)
+        ]
+
+    try:
+        out = ask(texts)
+        if len(out) == len(texts):
+            return out
+    except Exception:  # noqa: BLE001
+        pass
+    if len(texts) == 1:
+        return [(None, None)]
+    return [_guesses(predictor, [t])[0] for t in texts]
+
+
+class _Tally:
+    """What decides whether a page needs more chunks: the early verdict of ``_model_status``."""
+
+    def __init__(self):
+        self.votes, self.seen, self.accepted, self.dia, self.decided = [], set(), 0, 0, False
+
+    def add(self, label: str | None, prob: float | None, marks: float, p: dict) -> None:
+        self.votes.append({"label": label, "prob": prob, "marks": marks})
+        marked = marks >= p["diacritic_threshold"]
+        trusted = label is not None and prob is not None and prob >= p["conf_threshold"]
+        self.accepted += trusted or marked
+        self.dia += marked
+        if trusted:
+            self.seen.add(label.replace("__label__", "").lower())
+            kinds = len(self.seen) + (self.dia > 0)
+            self.decided = kinds >= 2 and self.accepted >= p["min_accepted_chunks"]
+
+
+def _scored(pages: pd.Series, predictor: Predictor, p: dict) -> list:
+    """Votes per page. Round k asks for the k-th chunk of the pages that are still open, all at once."""
+    tallies = [None if chunks is None else _Tally() for chunks in pages]
+    open_ = [i for i, chunks in enumerate(pages) if chunks is not None and len(chunks)]
+    k = 0
+    while open_:
+        texts = [pages.iloc[i][k] for i in open_]
+        for i, text, (label, prob) in zip(open_, texts, _guesses(predictor, texts), strict=True):
+            tallies[i].add(label, prob, _marks(text), p)
+        k += 1
+        open_ = [i for i in open_ if not tallies[i].decided and k < len(pages.iloc[i])]
+    return [None if t is None else t.votes for t in tallies]
+
+
+def _predict(factory: PredictorFactory, chunks: Column, p: dict) -> Column:
+    """Label, probability and diacritic ratio per chunk, up to the early verdict; NULL when there is no model."""
+    token = uuid.uuid4().hex
 
     @F.pandas_udf("array<struct<label: string, prob: double, marks: double>>")
-    def vote(batch: pd.Series) -> pd.Series:
-        import unicodedata
-
-        import pandas as pd
-
-        def marks(s: str) -> float:
-            if s.isascii():
-                return 0.0
-            decomposed = unicodedata.normalize("NFD", s)
-            return sum(unicodedata.category(ch) == "Mn" for ch in decomposed) / max(1, len(s))
-
-        flat = pd.Series([c for doc in batch if doc is not None for c in doc], dtype=object)
-        found = predictor(flat) if len(flat) else pd.DataFrame({"label": [], "prob": []})
-        votes = iter(zip(found["label"], found["prob"], flat.map(marks)))
-        return pd.Series(
-            [
-                None
-                if doc is None
-                else [
-                    {
-                        "label": None if label is None or pd.isna(label) else str(label),
-                        "prob": None if prob is None or pd.isna(prob) else float(prob),
-                        "marks": float(m),
-                    }
-                    for _, (label, prob, m) in zip(doc, votes)
-                ]
-                for doc in batch
-            ]
-        )
+    def vote(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predictor = _loaded(token, factory)
+        for pages in batches:
+            if predictor is None:
+                yield pd.Series([None] * len(pages), dtype=object)
+            else:
+                yield pd.Series(_scored(pages, predictor, p), dtype=object)
 
     return vote(chunks)
 
@@ -272,6 +330,7 @@ def detect_language(
     add_bool: bool = True,
     bool_col: str | None = "has_other_lang",
     predictor: Predictor | None = None,
+    predictor_factory: PredictorFactory | None = None,
     chunk_size: int = 2000,
     step: int | None = None,
     min_chunk_chars: int = 50,
@@ -286,9 +345,14 @@ def detect_language(
 ) -> DataFrame:
     """Add ``english_only`` / ``non_english`` / ``mixed`` per row, and optionally a flag and vote counts.
 
-    Without a ``predictor`` everything is a native expression. NULL and blank texts
-    count as ``english_only``.
+    Without a ``predictor`` or ``predictor_factory`` everything is a native expression. NULL and
+    blank texts count as ``english_only``. A chunk on which the model fails has no vote, and a
+    model that cannot be built leaves all pages to the heuristic. Chunks behind the early verdict
+    are not scored.
     """
+    if predictor is not None and predictor_factory is not None:
+        raise ValueError("give a predictor or a predictor_factory, not both")
+    factory = predictor_factory if predictor is None else lambda: predictor
     if text_col not in df.columns:
         raise ValueError(f"column {text_col!r} is not in the frame")
     if add_bool and not (bool_col or "").strip():
@@ -309,12 +373,12 @@ def detect_language(
     text = F.col(text_col).cast("string")
     empty = _result("english_only", 0, 0, 0, "", 0, 0.0)
     classes = chunk_classes(text, chunk_size, step)
-    if predictor is None and not return_debug:
+    if factory is None and not return_debug:
         out = df.withColumn(
             out_col, F.when(_blank(text), "english_only").otherwise(X.let(classes, _heuristic_status))
         )
     else:
-        if predictor is None:
+        if factory is None:
             scored = df.withColumn("_lang", F.when(_blank(text), empty).otherwise(_heuristic_votes(classes)))
         else:
             p = {
@@ -327,8 +391,9 @@ def detect_language(
                 "diacritic_threshold": diacritic_threshold,
             }
             chunks = model_chunks(text, chunk_size, step, min_chunk_chars)
-            voted = df.withColumn("_votes", _predict(predictor, chunks))
-            status = _model_status(F.col("_votes"), _heuristic_votes(classes), p)
+            voted = df.withColumn("_votes", _predict(factory, chunks, p))
+            votes = F.col("_votes")
+            status = F.when(votes.isNull(), _heuristic_votes(classes)).otherwise(_model_status(votes, _heuristic_votes(classes), p))
             scored = voted.withColumn("_lang", F.when(_blank(text), empty).otherwise(status)).drop("_votes")
         shown = {out_col: F.col("_lang.status")}
         if return_debug:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,19 +86,32 @@ def silver_pages(
     return pages.select(*RECORD_COLUMNS, "lang_status", F.col("row_num").cast("bigint").alias("row_num")), summary
 
 
+def append_load(records: DataFrame, silver: str, summary: str | None, load_id: str, **kwargs) -> None:
+    """Filter parsed records and append the pages and the summary of one load.
+
+    Pages whose record id is already in the table, and the summary of a load that was
+    already recorded, are not appended again, so a load can be repeated.
+    """
+    pages, totals = silver_pages(records, **kwargs)
+    tables.append(pages, silver, key="record_id")
+    if summary is not None:
+        tables.append(totals.withColumn("load_id", F.lit(load_id)), summary, key="load_id")
+
+
 def wet_to_silver(
     spark: SparkSession,
     paths: str | list[str],
     silver: str,
     summary: str,
     newline: str = "\r\n",
+    load_id: str | None = None,
     **kwargs,
 ) -> int:
     """Read, filter, append pages and summary; returns how many record ids the table holds twice.
 
-    Pages whose record id is already in the table are not appended again.
+    ``load_id`` names the load in the summary; by default it follows from the paths.
     """
-    pages, totals = silver_pages(parse_all(record_scan(spark, paths, newline)), **kwargs)
-    tables.append(pages, silver, key="record_id")
-    tables.append(totals, summary)
+    named = [paths] if isinstance(paths, str) else sorted(paths)
+    load_id = load_id or "paths:" + hashlib.md5("\n".join(named).encode()).hexdigest()
+    append_load(parse_all(record_scan(spark, paths, newline)), silver, summary, load_id, **kwargs)
     return joins.count_duplicate_keys(spark.read.table(silver), "record_id").first()[0]

@@ -222,6 +222,18 @@ def _(spark, sf):
     return features.hashed_term_rows(docs, "doc_id", text_col="text")
 
 
+@registry.add(
+    "hashed_tf_totals",
+    f"""SELECT doc_id, CAST(len(words) AS DOUBLE) AS n_terms FROM (
+          SELECT doc_id, list_filter({TERMS_SQL.format("text")}, lambda t: t NOT IN {STOP}) AS words FROM documents)
+        WHERE len(words) > 0""",
+)
+def _(spark, sf):
+    # terms that share a bucket add up, so the sum is the number of terms whatever the hash
+    docs = load(spark, sf, "documents", "doc_id", "text")
+    return features.hashed_term_rows(docs, "doc_id", text_col="text").groupBy("doc_id").agg(F.sum("tf").alias("n_terms"))
+
+
 @registry.add("cosine_hashed")
 def _(spark, sf):
     vectors = features.hashed_terms(load(spark, sf, "documents", "doc_id", "text"), "text").drop("text")

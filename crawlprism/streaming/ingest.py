@@ -1,8 +1,8 @@
 """Incremental loads: file streams that run to the end of the new files and stop.
 
-Parsing and filtering are row-wise, so no stream state is kept. Duplicates are
-checked against the target table inside each batch; a batch that is replayed after
-a failure finds its rows already there.
+Each batch is a load of its own, so no stream state is kept. Duplicates are checked
+against the target table inside each batch; a batch that is replayed after a failure
+finds its rows already there.
 """
 
 from __future__ import annotations
@@ -13,18 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from crawlprism.operators import dictionaries as D
-from crawlprism.operators.language import detect_language
-from crawlprism.operators.signals import filter_by_domain, filter_by_keywords
+from crawlprism.operators.sampling import first_per_group
+from crawlprism.plans.silver import append_load
 from crawlprism.schemas import MANIFEST_SCHEMA
 from crawlprism.sources import tables
-from crawlprism.sources.wet import longer_than, parse_records, record_stream
-
-
-def page_filters(records: DataFrame, keywords=tuple(D.PRODUCT_KEYWORDS)) -> DataFrame:
-    """The row-wise part of the silver load. Language runs last, on the pages that are left."""
-    pages = filter_by_keywords(filter_by_domain(longer_than(records)), keywords)
-    return detect_language(pages, add_bool=False)
+from crawlprism.sources.wet import parse_all, record_stream
 
 
 def append_unseen(table: str, key: str, session: SparkSession | None = None) -> Callable[[DataFrame, int], None]:
@@ -50,19 +43,40 @@ def _run(stream: DataFrame, table: str, key: str, checkpoint: str) -> StreamingQ
     )
 
 
+def _longest_of_each(records: DataFrame) -> DataFrame:
+    """Of parsed records that share an id the longest, then the latest; records without an id all stay."""
+    keyless = F.when(F.col("record_id").isNull(), F.monotonically_increasing_id())
+    order = [F.desc(F.length("content")), F.desc("warc_date"), F.col("content")]
+    return first_per_group(records.withColumn("_keyless", keyless), ["record_id", "_keyless"], order).drop("_keyless")
+
+
 def ingest_wet(
     spark: SparkSession,
     source: str,
     table: str,
     checkpoint: str,
     newline: str = "\r\n",
-    transform: Callable[[DataFrame], DataFrame] = page_filters,
+    summary: str | None = None,
     max_files_per_batch: int | None = None,
+    **kwargs,
 ) -> StreamingQuery:
-    """New archive files to the page table. Global row numbers belong to the batch load only."""
+    """New archive files to the page table, by the same load as the batch form, with a summary row for each batch.
+
+    Row numbers count within a batch, as they count within a batch load. A batch that is replayed
+    after a failure adds neither pages nor a second summary.
+    """
     options = {"maxFilesPerTrigger": str(max_files_per_batch)} if max_files_per_batch else {}
-    records = parse_records(record_stream(spark, source, newline, **options))
-    return _run(transform(records), table, "record_id", checkpoint)
+    records = parse_all(record_stream(spark, source, newline, **options))
+
+    def write(batch: DataFrame, number: int) -> None:
+        append_load(_longest_of_each(batch), table, summary, f"{checkpoint}:{number}", **kwargs)
+        for name in (table, summary):
+            if name is not None:
+                spark.catalog.refreshTable(name)
+
+    return (
+        records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
 
 
 def ingest_manifest(

@@ -8,6 +8,7 @@ import pytest
 
 from crawlprism.functions import text as X
 from crawlprism.operators import dictionaries as D
+from crawlprism.operators import language as L
 from crawlprism.operators.language import DEBUG_COLUMNS, detect_language
 from crawlprism.registry.fixtures import load
 from crawlprism.registry.language_queries import marker_predictor
@@ -241,3 +242,51 @@ def test_scripted_votes(spark, script):
         frame(spark, [text]), "text", add_bool=False, return_debug=True, chunk_size=60, predictor=predict
     )
     same(out.collect(), [text], lambda t: brute_votes(t, 60, predict))
+
+
+# --- the model path ------------------------------------------------------------------------
+
+
+def test_model_failures(spark, tmp_path):
+    """A chunk on which the model fails has no vote; scoring stops at the early verdict; the model is built once per worker."""
+    calls = str(tmp_path / "calls")
+
+    def factory():
+        import os
+
+        with open(calls, "a") as log:
+            log.write(f"load {os.getpid()}\n")
+
+        def predict(chunks):
+            import pandas as pd
+
+            with open(calls, "a") as log:
+                log.writelines(f"chunk {c[:5]}\n" for c in chunks)
+            if any("bad" in c for c in chunks):
+                raise RuntimeError("no")
+            return pd.DataFrame({"label": ["en" if "the" in c else "fr" for c in chunks], "prob": [0.9] * len(chunks)})
+
+        return predict
+
+    page = ["00the " * 10, "01bad " * 10, "02mot " * 10, "03the " * 10, "04mot " * 10]
+    df = frame(spark, ["".join(c[:60].ljust(60) for c in page)] * 3).coalesce(1)
+    got = L.detect_language(
+        df, "text", add_bool=False, return_debug=True, chunk_size=60, predictor_factory=factory, min_chunk_chars=10
+    ).collect()
+    assert {(r["lang_status"], r["accepted_chunks"], r["en_votes"], r["non_votes"]) for r in got} == {("mixed", 2, 1, 1)}
+    lines = (tmp_path / "calls").read_text().splitlines()
+    assert len([x for x in lines if x.startswith("load")]) == 1
+    assert not any(x.startswith(("chunk 03", "chunk 04")) for x in lines)
+
+
+def test_model_that_does_not_load(spark):
+    def factory():
+        raise OSError("no model here")
+
+    texts = ["the of and to in is that it was for " * 9, "la de le et les des en un du une " * 9, None]
+    df = frame(spark, texts)
+    got = L.detect_language(df, "text", add_bool=False, return_debug=True, predictor_factory=factory)
+    want = L.detect_language(df, "text", add_bool=False, return_debug=True)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(ValueError, match="not both"):
+        L.detect_language(df, "text", predictor=marker_predictor(), predictor_factory=factory)
