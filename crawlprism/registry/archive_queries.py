@@ -9,14 +9,14 @@ from crawlprism.operators import dictionaries as D
 from crawlprism.operators import numbering
 from crawlprism.plans import silver
 from crawlprism.registry.base import registry
-from crawlprism.registry.fixtures import CORPUS_SQL, corpus, envelope_lines, load, record_texts
+from crawlprism.registry.fixtures import CORPUS_SQL, PAGE_URLS_SQL, corpus, envelope_lines, load, record_texts
 from crawlprism.registry.language_queries import language_sql
 from crawlprism.schemas import RECORD_COLUMNS
 from crawlprism.sources import wat, wet
 
-PLACED_SQL = """placed AS (
+PLACED_SQL = f"""{PAGE_URLS_SQL}, placed AS (
   SELECT d.doc_id, d.lang, d.text, p.url FROM documents d
-  JOIN pages p ON p.page_id = d.doc_id % (SELECT count(*) FROM pages))"""
+  JOIN page_urls p ON p.page_id = d.doc_id % (SELECT count(*) FROM pages))"""
 
 # characters removed by Python's str.strip, as a SQL expression
 _SPACES = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||' '||chr(133)||chr(160)"

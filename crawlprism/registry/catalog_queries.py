@@ -210,9 +210,11 @@ def _(spark, sf):
 @registry.add(
     "duplicate_objects",
     f"""{WITH} SELECT count(*) AS duplicate_keys FROM (
-        SELECT file_day FROM (SELECT strftime(last_modified, '%Y-%m-%d') AS file_day FROM dated)
+        SELECT obj_key FROM (SELECT obj_key FROM dated UNION ALL SELECT obj_key FROM dated WHERE seen)
         GROUP BY 1 HAVING count(*) > 1)""",
 )
 def _(spark, sf):
-    days = crawl_manifest(spark, sf).select(F.date_format("last_modified", "yyyy-MM-dd").alias("file_day"))
-    return joins.count_duplicate_keys(days, "file_day")
+    # a listing that was appended once more for the objects already seen
+    m = crawl_manifest(spark, sf)
+    twice = m.select("obj_key").unionAll(m.where("seen").select("obj_key"))
+    return joins.count_duplicate_keys(twice, "obj_key")

@@ -98,9 +98,35 @@ PHRASED_SQL = f"""phrased AS (
   FROM documents)"""
 
 
+def page_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """The URLs of ``pages``, some of them on the publisher's own site and some with a port."""
+    number = F.col("page_id").cast("string")
+    url = (
+        F.when(F.col("page_id") % 9 == 4, F.concat(F.lit("https://www.census.gov/data/"), number))
+        .when(F.col("page_id") % 9 == 7, F.concat(F.lit("http://host.example.com:8080/"), number))
+        .otherwise(F.col("url"))
+    )
+    return load(spark, sf, "pages", "page_id", "url").select("page_id", url.alias("url"))
+
+
+PAGE_URLS_SQL = """page_urls AS (
+  SELECT page_id, CASE page_id % 9 WHEN 4 THEN 'https://www.census.gov/data/' || page_id
+    WHEN 7 THEN 'http://host.example.com:8080/' || page_id ELSE url END AS url FROM pages)"""
+
+
+def mixed_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents, some of them with a tail in another script."""
+    tail = F.when(F.col("doc_id") % 11 == 6, " Это русский текст").otherwise("")
+    return load(spark, sf, "documents", "doc_id", "lang", "text").select("doc_id", "lang", F.concat("text", tail).alias("text"))
+
+
+MIXED_SQL = """mixed AS (
+  SELECT doc_id, lang, text || CASE WHEN doc_id % 11 = 6 THEN ' Это русский текст' ELSE '' END AS text FROM documents)"""
+
+
 def _on_pages(spark: SparkSession, sf: str, docs: DataFrame) -> DataFrame:
     """Each document placed on one of the URLs of ``pages``."""
-    p = load(spark, sf, "pages", "page_id", "url")
+    p = page_urls(spark, sf)
     n_pages = p.agg(F.count(F.lit(1))).scalar()
     return docs.withColumn("page_id", F.col("doc_id") % n_pages).join(p, "page_id")
 
@@ -119,10 +145,10 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-CORPUS_SQL = f"""{SALTED_SQL}, corpus AS (
+CORPUS_SQL = f"""{SALTED_SQL}, {PAGE_URLS_SQL}, corpus AS (
   SELECT '<urn:uuid:' || s.doc_id || '>' AS record_id, p.url AS target_uri,
          s.lang AS content_language, s.content
-  FROM salted s JOIN pages p ON p.page_id = s.doc_id % (SELECT count(*) FROM pages))"""
+  FROM salted s JOIN page_urls p ON p.page_id = s.doc_id % (SELECT count(*) FROM pages))"""
 
 NORM = r"trim(regexp_replace(lower(content), '\s+', ' ', 'g'))"
 

@@ -9,7 +9,7 @@ from crawlprism.functions import text as X
 from crawlprism.operators import dictionaries as D
 from crawlprism.operators import language as L
 from crawlprism.registry.base import registry
-from crawlprism.registry.fixtures import load, sql_list
+from crawlprism.registry.fixtures import MIXED_SQL, load, mixed_texts, sql_list
 
 _COMMON = sql_list(D.ENGLISH_COMMON_WORDS)
 _COMMON_IN = "(" + _COMMON[1:-1] + ")"
@@ -36,11 +36,11 @@ lang_status AS (
          AS lang_status FROM {source} s LEFT JOIN seen USING ({key}))"""
 
 
-DOCS_SQL = f"WITH {language_sql('documents', 'doc_id', 'text')}"
+DOCS_SQL = f"WITH {MIXED_SQL}, {language_sql('mixed', 'doc_id', 'text')}"
 
 
 def _docs(spark, sf):
-    return load(spark, sf, "documents", "doc_id", "text")
+    return mixed_texts(spark, sf).select("doc_id", "text")
 
 
 @registry.add(
@@ -56,8 +56,8 @@ def _(spark, sf):
 
 @registry.add(
     "lang_chunks_overlapping",
-    """SELECT doc_id, CAST(pos / 1000 AS INT) AS chunk_no, md5(substring(text, pos + 1, 2000)) AS chunk
-       FROM (SELECT doc_id, text, unnest(range(0, length(text), 1000)) AS pos FROM documents)""",
+    f"""WITH {MIXED_SQL} SELECT doc_id, CAST(pos / 1000 AS INT) AS chunk_no, md5(substring(text, pos + 1, 2000)) AS chunk
+       FROM (SELECT doc_id, text, unnest(range(0, length(text), 1000)) AS pos FROM mixed)""",
 )
 def _(spark, sf):
     chunks = _docs(spark, sf).select(
@@ -77,7 +77,7 @@ def _(spark, sf):
         FROM lang_status JOIN documents USING (doc_id) GROUP BY ALL""",
 )
 def _(spark, sf):
-    flagged = L.detect_language(load(spark, sf, "documents", "lang", "text"), "text")
+    flagged = L.detect_language(mixed_texts(spark, sf).select("lang", "text"), "text")
     return flagged.groupBy("lang", "has_other_lang").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -116,7 +116,7 @@ def _(spark, sf):
 
 @registry.add(
     "nonlatin_flag",
-    f"SELECT doc_id, regexp_matches(text, '{X.NON_LATIN}') AS non_latin FROM documents",
+    f"WITH {MIXED_SQL} SELECT doc_id, regexp_matches(text, '{X.NON_LATIN}') AS non_latin FROM mixed",
 )
 def _(spark, sf):
     return _docs(spark, sf).select("doc_id", X.has_non_latin("text").alias("non_latin"))
@@ -124,9 +124,9 @@ def _(spark, sf):
 
 @registry.add(
     "common_word_ratio",
-    f"""SELECT doc_id, round(CASE WHEN len(words) > 0
+    f"""WITH {MIXED_SQL} SELECT doc_id, round(CASE WHEN len(words) > 0
           THEN len(list_filter(words, lambda w: w IN {_COMMON_IN})) / len(words) END, 6) AS ratio
-        FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-zA-Z'']+') AS words FROM documents)""",
+        FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-zA-Z'']+') AS words FROM mixed)""",
 )
 def _(spark, sf):
     return _docs(spark, sf).select("doc_id", F.round(X.common_word_ratio("text"), 6).alias("ratio"))
@@ -141,7 +141,8 @@ def _(spark, sf):
        FROM documents""",
 )
 def _(spark, sf):
-    return _docs(spark, sf).select("doc_id", F.round(X.diacritic_ratio("text"), 6).alias("ratio"))
+    docs = load(spark, sf, "documents", "doc_id", "text")
+    return docs.select("doc_id", F.round(X.diacritic_ratio("text"), 6).alias("ratio"))
 
 
 def marker_predictor() -> L.Predictor:

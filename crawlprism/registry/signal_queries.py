@@ -11,11 +11,12 @@ from crawlprism.registry.base import registry
 from crawlprism.registry.fixtures import (
     CORPUS_SQL,
     NORM,
+    PAGE_URLS_SQL,
     PHRASED_SQL,
     SALTED_SQL,
     corpus,
     labelled_sql,
-    load,
+    page_urls,
     phrased,
     salted,
     sql_list,
@@ -187,11 +188,11 @@ _HOST = r"replace(regexp_extract({0}, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)
 
 @registry.add(
     "site_columns",
-    rf"""SELECT page_id, {_HOST.format('url')} AS root_url,
-          nullif(regexp_extract({_HOST.format('url')}, '\.[a-zA-Z]{{2,}}$'), '') AS tld FROM pages""",
+    rf"""WITH {PAGE_URLS_SQL} SELECT page_id, {_HOST.format('url')} AS root_url,
+          nullif(regexp_extract({_HOST.format('url')}, '\.[a-zA-Z]{{2,}}$'), '') AS tld FROM page_urls""",
 )
 def _(spark, sf):
-    pages = load(spark, sf, "pages", "page_id", "url")
+    pages = page_urls(spark, sf)
     return reports.with_site_columns(pages, "url").drop("url")
 
 
@@ -244,11 +245,11 @@ def _(spark, sf):
 @registry.add(
     "exclude_site",
     f"""{CORPUS_LABELS} SELECT record_id, {_HOST.format('target_uri')} AS root_url FROM labelled
-        WHERE label IS NOT NULL AND {_HOST.format('target_uri')} <> 'm.therou.example.com'""",
+        WHERE label IS NOT NULL AND {_HOST.format('target_uri')} <> 'census.gov'""",
 )
 def _(spark, sf):
     pages = reports.with_site_columns(signals.label_pages(corpus(spark, sf)))
-    return pages.where(F.col("root_url") != "m.therou.example.com").select("record_id", "root_url")
+    return pages.where(F.col("root_url") != "census.gov").select("record_id", "root_url")
 
 
 @registry.add(
