@@ -86,14 +86,26 @@ def number_records(
     line_col: str = "value",
     marker: str = "WARC/1.0",
     out_col: str = "record_no",
+    file_col: str | None = None,
 ) -> DataFrame:
-    """Record number of each line: how many marker lines stand at or before it."""
+    """Record number of each line: how many marker lines stand at or before it.
+
+    With ``file_col`` records are numbered within their file, which takes one shuffle and no
+    global order; a file is then one window. Without it the numbers run over all lines.
+    """
     marked = lines.withColumn("_start", F.when(F.col(line_col) == marker, 1).otherwise(0))
+    if file_col is not None:
+        inside = Window.partitionBy(file_col).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return marked.withColumn(out_col, F.sum("_start").over(inside)).drop("_start")
     return with_running_totals(marked, order_by, {out_col: "_start"}).drop("_start")
 
 
 def join_lines(
-    numbered: DataFrame, order_by: list[str], line_col: str = "value", record_col: str = "record_no"
+    numbered: DataFrame,
+    order_by: list[str],
+    line_col: str = "value",
+    record_col: str = "record_no",
+    file_col: str | None = None,
 ) -> DataFrame:
     """Lines of one record joined in order; empty records dropped.
 
@@ -104,7 +116,7 @@ def join_lines(
     pieces = F.array_sort(F.collect_list(F.struct(*order_by, line_col)))
     return (
         numbered.where(F.col(record_col) > 0)
-        .groupBy(record_col)
+        .groupBy(*([file_col] if file_col else []), record_col)
         .agg(F.concat_ws("\n", F.transform(pieces, lambda p: p[line_col])).alias("record_text"))
         .where(F.col("record_text") != "")
     )

@@ -157,37 +157,38 @@ def _(spark, sf):
 
 
 LINES_SQL = """lines AS (
-  SELECT doc_id, unnest(range(len(parts))) AS pos, unnest(parts) AS value
+  SELECT doc_id // 10 AS file_no, doc_id, unnest(range(len(parts))) AS pos, unnest(parts) AS value
   FROM (SELECT doc_id, list_concat(['WARC/1.0'], string_split(text, chr(10))) AS parts FROM documents)),
 numbered AS (
   SELECT *, sum(CASE WHEN value = 'WARC/1.0' THEN 1 ELSE 0 END)
-            OVER (ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS record_no FROM lines)"""
+            OVER (PARTITION BY file_no ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS record_no FROM lines)"""
 
 
 def _lines(spark, sf):
     parts = F.concat(F.array(F.lit("WARC/1.0")), F.split("text", "\n"))
-    return load(spark, sf, "documents", "doc_id", "text").select("doc_id", F.posexplode(parts).alias("pos", "value"))
+    file_no = F.floor(F.col("doc_id") / 10).alias("file_no")
+    return load(spark, sf, "documents", "doc_id", "text").select(file_no, "doc_id", F.posexplode(parts).alias("pos", "value"))
 
 
 @registry.add(
     "running_record_id",
-    f"""WITH {LINES_SQL} SELECT doc_id, CAST(pos AS INT) AS pos, md5(value) AS line,
+    f"""WITH {LINES_SQL} SELECT file_no, doc_id, CAST(pos AS INT) AS pos, md5(value) AS line,
         CAST(record_no AS BIGINT) AS record_no FROM numbered""",
 )
 def _(spark, sf):
-    numbered = numbering.number_records(_lines(spark, sf), ["doc_id", "pos"])
-    return numbered.select("doc_id", "pos", F.md5("value").alias("line"), "record_no")
+    numbered = numbering.number_records(_lines(spark, sf), ["doc_id", "pos"], file_col="file_no")
+    return numbered.select("file_no", "doc_id", "pos", F.md5("value").alias("line"), "record_no")
 
 
 @registry.add(
     "joined_lines",
-    f"""WITH {LINES_SQL} SELECT CAST(record_no AS BIGINT) AS record_no,
-        md5(string_agg(value, chr(10) ORDER BY doc_id, pos)) AS record_text FROM numbered GROUP BY record_no""",
+    f"""WITH {LINES_SQL} SELECT file_no, CAST(record_no AS BIGINT) AS record_no,
+        md5(string_agg(value, chr(10) ORDER BY doc_id, pos)) AS record_text FROM numbered GROUP BY file_no, record_no""",
 )
 def _(spark, sf):
-    numbered = numbering.number_records(_lines(spark, sf), ["doc_id", "pos"])
-    records = numbering.join_lines(numbered, ["doc_id", "pos"])
-    return records.select("record_no", F.md5("record_text").alias("record_text"))
+    numbered = numbering.number_records(_lines(spark, sf), ["doc_id", "pos"], file_col="file_no")
+    records = numbering.join_lines(numbered, ["doc_id", "pos"], file_col="file_no")
+    return records.select("file_no", "record_no", F.md5("record_text").alias("record_text"))
 
 
 # --- silver load --------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from crawlprism.operators import ngrams, reports
+from crawlprism.operators import ngrams, reports, signals
 from crawlprism.plans import catalog, gold, silver
 from crawlprism.registry import registry
 from crawlprism.registry.fixtures import corpus, crawl_manifest, record_texts
@@ -261,7 +261,7 @@ def test_plan_shape(spark, sf, plan, query):
 
 def test_no_row_meets_all_others(spark, sf, plan):
     """A single-partition exchange may only carry aggregated rows."""
-    for query in ("silver_pages", "row_numbers", "running_record_id", "joined_lines", "wet_parse", "ngrams_by_label"):
+    for query in ("silver_pages", "row_numbers", "auc_rank", "wet_parse", "ngrams_by_label"):
         for part in plan(registry[query].build(spark, sf)).split("Exchange SinglePartition")[1:]:
             head = "\n".join(part.splitlines()[1:3])
             assert "HashAggregate" in head, (query, head)
@@ -285,6 +285,28 @@ def test_no_scan_is_redistributed(spark, sf, plan):
         assert "REPARTITION" not in plan(registry[query].build(spark, sf))
 
 
+def test_shuffles_carry_no_more_than_they_need(spark, sf, plan):
+    assert plan(registry["running_record_id"].build(spark, sf)).count("Exchange") == 1
+    for query in ("similar_pages", "longest_per_uri"):
+        for line in plan(registry[query].build(spark, sf)).splitlines():
+            assert "Exchange" not in line or ("content" not in line and "text_norm" not in line)
+    assert "Generate" not in plan(registry["cosine_terms_to_anchor"].build(spark, sf))
+
+
+def test_fixtures_hold_what_the_operators_act_on(spark, sf):
+    """Each of these operators changes rows of the fixtures."""
+    pages = reports.with_site_columns(corpus(spark, sf))
+    assert 0 < pages.where("root_url = 'census.gov'").count() < pages.count()
+    assert 0 < pages.where("tld is null").count() < pages.count()
+    labelled = signals.label_pages(corpus(spark, sf))
+    assert gold.outside_publisher(labelled).where("label is not null").count() < labelled.where("label is not null").count()
+    flags = {r[0] for r in registry["nonlatin_flag"].build(spark, sf).select("non_latin").distinct().collect()}
+    assert flags == {True, False}
+    tops = {r[0] for r in registry["lang_debug"].build(spark, sf).select("top_noneng_label").distinct().collect()}
+    assert tops == {"", "non_latin"}
+    assert registry["duplicate_objects"].build(spark, sf).first()[0] > 0
+
+
 def test_no_size_switches():
     package = Path(__file__).resolve().parent.parent / "crawlprism"
     for folder in ("operators", "plans", "sources", "streaming", "functions", "registry"):
