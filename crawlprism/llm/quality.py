@@ -1,8 +1,8 @@
 """Quality rules: repetition coverage by rolling hashes of several n-gram lengths.
 
 Each text's words become integer codes in numpy. Hashes of length n + 1 roll on from those of length n.
-A word that lies in a duplicated n-gram, and a line that was seen before, count with their characters;
-the shares of the text decide.
+A word that lies in an n-gram that occurred before, and a line that occurred before, count with their
+characters; the shares of the text decide. So do all places of the most frequent short n-gram.
 
 Defined cases: null text has no words and fails the base rule, as does any text of under 50 words.
 Repeated rows give repeated rows. Other columns are not looked at.
@@ -51,15 +51,17 @@ def _covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def _counts(keys: np.ndarray) -> np.ndarray:
-    """For each position how often its key occurs."""
+def _counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each position how often its key occurs, and whether it occurred before."""
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
     first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
     sizes = np.diff(np.append(first, len(ranked)))
     out = np.empty(len(keys), np.int64)
     out[order] = np.repeat(sizes, sizes)
-    return out
+    again = np.ones(len(keys), bool)
+    again[order[first]] = False
+    return out, again
 
 
 def measure(text: bytes) -> dict:
@@ -108,7 +110,7 @@ def measure(text: bytes) -> dict:
                 keys = np.unique(np.stack([codes[:-2], codes[1:-1], codes[2:]]), axis=1, return_inverse=True)[1].ravel()
         else:
             keys = rolled
-        counts = _counts(keys)
+        counts, again = _counts(keys)
         repeated = counts > 1
         if length == REPEAT_WINDOW:
             row["n_repeat_words"] = int(_covered(repeated, length, n).sum())
@@ -121,7 +123,7 @@ def measure(text: bytes) -> dict:
         if length in DUPLICATED_NGRAM:
             if not repeated.any():
                 break  # a longer n-gram cannot be duplicated either
-            share = float(sizes[_covered(repeated, length, n)].sum() / total)
+            share = float(sizes[_covered(again, length, n)].sum() / total)
             row["dup_ngram_share"] = max(row["dup_ngram_share"], share)
             over |= share > DUPLICATED_NGRAM[length]
     row["repetitive"] = bool(over)

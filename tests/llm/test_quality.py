@@ -35,7 +35,11 @@ def plain(text):
                 seen.add(line)
         over |= chars / total > Q.DUPLICATED_LINES
         for n, limit in Q.DUPLICATED_NGRAM.items():
-            over |= sum(len(words[j]) for j in covered(n)[0]) / total > limit
+            before, inside = set(), set()
+            for i, g in enumerate(covered(n)[2]):
+                inside |= set(range(i, i + n)) if g in before else set()
+                before.add(g)
+            over |= sum(len(words[j]) for j in inside) / total > limit
         for n, limit in Q.TOP_NGRAM.items():
             _, counts, grams = covered(n)
             if not grams or max(counts.values()) < 2:
