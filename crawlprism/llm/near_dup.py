@@ -7,7 +7,8 @@ coordinate is filled. Bands of coordinates are bucket keys. Candidates are confi
 Texts with the same set are one class, so copies never meet in pairs. Within a bucket, classes are first
 compared with the bucket's smallest class only. Then members that these links have not yet joined are compared with
 the members of other components of their bucket, which is exact and leaves nothing to do in a group that has already
-been joined. No bucket is capped.
+been joined. In a small bucket they are compared pair by pair; the members of large buckets are searched in a grid of
+blocks. No bucket is capped.
 
 Defined cases: a null text, or one without words, has an empty set, is linked with nothing and is kept. A row is a
 document: rows with the same id and text are in one class. A row without id takes part, but names no component; if its
@@ -147,6 +148,57 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(full, run, "a bigint, b bigint")
 
 
+# A bucket of so many classes is searched in blocks; smaller ones give less than half its square in pairs.
+LARGE_BUCKET = 64
+
+# Classes on either side of one block of the search.
+CELL = 256
+
+
+def _searched(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the rows (family, cid, label) that are not of the family's own component, without a row for each pair.
+
+    They are the queries; all rows of the family are searched. Both are dealt to a grid of cells of about CELL by
+    CELL, so that a family of any size is spread. A cell indexes its rows by shingle and counts, for each query, what
+    it shares with each. It gives one link for each component that a query is linked with.
+    """
+    sizes = crowded.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") != F.col("family")).alias("q"))
+    grid = sizes.select("family", F.ceil(F.col("n") / CELL).cast("int").alias("rows"), F.ceil(F.col("q") / CELL).cast("int").alias("columns"))
+    placed = crowded.join(grid, "family").join(sets, "cid")
+    spot = F.xxhash64("cid", "family")
+
+    def across(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    every = placed.withColumns({"i": F.pmod(spot, "rows").cast("int"), "j": across("columns")})
+    queries = placed.where(F.col("label") != F.col("family")).withColumns({"j": F.pmod(spot, "columns").cast("int"), "i": across("rows")})
+    cell = ["family", "i", "j"]
+    wanted = [*cell, "cid", "label", "items"]
+
+    def run(here: pa.Table, asked: pa.Table) -> pa.Table:
+        a, b = [], []
+        if len(here) and len(asked):
+            ids, labels = here.column("cid").to_pylist(), np.array(here.column("label").to_pylist(), np.int64)
+            items = [np.frombuffer(x, np.uint64) for x in here.column("items").to_pylist()]
+            counts = np.array([len(x) for x in items])
+            shingle, owner = np.concatenate(items), np.repeat(np.arange(len(items)), counts)
+            order = np.argsort(shingle, kind="stable")
+            shingle, owner = shingle[order], owner[order]
+            for cid, label, raw in zip(*(asked.column(c).to_pylist() for c in ("cid", "label", "items"))):
+                own = np.frombuffer(raw, np.uint64)
+                first, last = np.searchsorted(shingle, own, "left"), np.searchsorted(shingle, own, "right")
+                n = last - first
+                places = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                shared = np.bincount(owner[places], minlength=len(items))
+                near = np.flatnonzero((100 * shared >= percent * (counts + len(own) - shared)) & (labels != label))
+                for k in near[np.unique(labels[near], return_index=True)[1]].tolist():
+                    a.append(cid)
+                    b.append(ids[k])
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return every.select(wanted).groupBy(cell).cogroup(queries.select(*[F.col(c).alias(c) for c in wanted]).groupBy(cell)).applyInArrow(run, "a bigint, b bigint")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -155,6 +207,7 @@ def near_duplicates(
     percent: int = MIN_SIMILARITY_PERCENT,
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
+    large_bucket: int = LARGE_BUCKET,
 ) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, kept) of every row; ``text_key`` is the text's MD5."""
     base = stored(sketched(docs, id_col, text_col, width, bands, band_rows), "near-sketch")
@@ -196,19 +249,21 @@ def near_duplicates(
     parts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = (
         parts.groupBy("key")
-        .agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("n_labels"))
+        .agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("n_labels"), F.sum("n").alias("members"))
         .where(F.col("n_labels") > 1)
-        .select("key", F.col("most.label").alias("main"))
+        .select("key", F.col("most.label").alias("main"), "members")
     )
     left = stored(labelled.join(mixed, "key"), "near-left")
-    minor = left.where(F.col("label") != F.col("main")).select("key", F.col("cid").alias("c1"), F.col("size").alias("s1"), F.col("label").alias("l1"))
+    small = left.where(F.col("members") < large_bucket)
+    minor = small.where(F.col("label") != F.col("main")).select("key", F.col("cid").alias("c1"), F.col("size").alias("s1"), F.col("label").alias("l1"))
     rest = (
-        minor.join(left, "key")
+        minor.join(small, "key")
         .where((F.col("label") != F.col("l1")) & possible("size", "s1"))
         .select(F.least("cid", "c1").alias("a"), F.greatest("cid", "c1").alias("b"))
         .distinct()
     )
-    more = stored(_confirmed(rest, sets, percent), "near-rest")
+    crowded = left.where(F.col("members") >= large_bucket).select(F.col("main").alias("family"), "cid", "label").distinct()
+    more = stored(_confirmed(rest, sets, percent).unionByName(_searched(crowded, sets, percent)), "near-rest")
     joined = components(links.unionByName(more), "near-components")
     named = (
         classes.select("set_key", "min_id", "cid")

@@ -63,7 +63,7 @@ def test_against_all_pairs(spark, width):
     same(N.digest(N.near_duplicates(awkward(spark, DOCS), width=width)).collect(), plain(DOCS, width))
 
 
-def test_group_of_unlike_copies(spark):
+def test_group_of_unlike_copies(spark, monkeypatch):
     """Members vary around a text, so that many pairs are just below the bound."""
     pick, base = random.Random(3), prose(77, 150).split()
     docs = []
@@ -72,7 +72,11 @@ def test_group_of_unlike_copies(spark):
         for _ in range(pick.randrange(14)):
             own[pick.randrange(len(own))] = f"v{pick.randrange(500)}"
         docs.append((i, " ".join(own)))
-    same(N.digest(N.near_duplicates(awkward(spark, docs), width=2)).collect(), plain(docs, 2))
+    want = plain(docs, 2)
+    same(N.digest(N.near_duplicates(awkward(spark, docs), width=2)).collect(), want)
+    # the same by blocks, and by many small ones
+    monkeypatch.setattr(N, "CELL", 7)
+    same(N.digest(N.near_duplicates(awkward(spark, docs), width=2, large_bucket=2)).collect(), want)
 
 
 def test_stage_keeps_one_of_each_group(spark):
