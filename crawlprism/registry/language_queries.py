@@ -91,9 +91,7 @@ def _(spark, sf):
 
 
 # Votes up to and including the first chunk that makes both kinds present.
-@registry.add(
-    "lang_debug",
-    f"""{DOCS_SQL}, running AS (
+HEURISTIC_SQL = """running AS (
           SELECT *, count(*) FILTER (WHERE kind = 'en') OVER w AS en_before,
                  count(*) FILTER (WHERE kind <> 'en') OVER w AS non_before
           FROM chunk_classes
@@ -103,13 +101,16 @@ def _(spark, sf):
           SELECT doc_id, count(*) AS accepted, count(*) FILTER (WHERE kind = 'en') AS en,
                  count(*) FILTER (WHERE kind <> 'en') AS non,
                  coalesce(max(non_before + 1) FILTER (WHERE kind = 'non_latin'), 0) AS top
-          FROM counted GROUP BY doc_id)
-        SELECT doc_id, lang_status, CAST(coalesce(accepted, 0) AS INT) AS accepted_chunks,
-               CAST(coalesce(en, 0) AS INT) AS en_votes, CAST(coalesce(non, 0) AS INT) AS non_votes,
-               CASE WHEN top > 0 THEN 'non_latin' ELSE '' END AS top_noneng_label,
-               CAST(coalesce(top, 0) AS INT) AS top_noneng_votes, CAST(0.0 AS DOUBLE) AS max_conf
-        FROM lang_status LEFT JOIN votes USING (doc_id)""",
-)
+          FROM counted GROUP BY doc_id),
+        heuristic AS (
+          SELECT doc_id, lang_status, CAST(coalesce(accepted, 0) AS INT) AS accepted_chunks,
+                 CAST(coalesce(en, 0) AS INT) AS en_votes, CAST(coalesce(non, 0) AS INT) AS non_votes,
+                 CASE WHEN top > 0 THEN 'non_latin' ELSE '' END AS top_noneng_label,
+                 CAST(coalesce(top, 0) AS INT) AS top_noneng_votes, CAST(0.0 AS DOUBLE) AS max_conf
+          FROM lang_status LEFT JOIN votes USING (doc_id))"""
+
+
+@registry.add("lang_debug", f"{DOCS_SQL}, {HEURISTIC_SQL} SELECT * FROM heuristic")
 def _(spark, sf):
     return L.detect_language(_docs(spark, sf), "text", add_bool=False, return_debug=True).drop("text")
 
@@ -158,7 +159,71 @@ def marker_predictor() -> L.Predictor:
     return predict
 
 
-@registry.add("lang_model_votes")
+# characters removed by Python's str.strip, as a SQL expression
+_SPACES = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||' '||chr(133)||chr(160)"
+
+# The model's votes as running totals: they only grow, so the state at the first early verdict, or at the
+# last chunk, is a row of the running totals. Pages that the ladder leaves open take the heuristic's row.
+MODEL_SQL = f"""asked AS (
+          SELECT * FROM (SELECT doc_id, pos, trim(replace(chunk, chr(10), ' '), {_SPACES}) AS c FROM chunks)
+          WHERE length(c) >= 50),
+        hits AS (
+          SELECT doc_id, pos, c, len(regexp_extract_all(c, ' the | of | and ')) AS n_en, len(regexp_extract_all(c, ' le | la | des ')) AS n_fr,
+                 len(regexp_extract_all(c, ' der | die | und ')) AS n_de, len(regexp_extract_all(c, ' el | los | que ')) AS n_es FROM asked),
+        best AS (SELECT *, greatest(n_en, n_fr, n_de, n_es) AS most, n_en + n_fr + n_de + n_es AS total FROM hits),
+        guessed AS (
+          SELECT doc_id, pos, CASE WHEN total = 0 THEN NULL WHEN n_en = most THEN 'en' WHEN n_fr = most THEN 'fr'
+                 WHEN n_de = most THEN 'de' ELSE 'es' END AS label, most / nullif(total, 0) AS prob,
+                 len(list_filter(string_split(c, ''), lambda x: strip_accents(x) <> x)) / length(c) >= 0.03 AS marked FROM best),
+        trusting AS (SELECT *, label IS NOT NULL AND prob >= 0.7 AS trusted FROM guessed),
+        firsts AS (
+          SELECT *, trusted AND row_number() OVER (PARTITION BY doc_id, label, trusted ORDER BY pos) = 1 AS fresh FROM trusting),
+        tally AS (
+          SELECT *, count(*) FILTER (WHERE trusted OR marked) OVER w AS accepted, count(*) FILTER (WHERE marked) OVER w AS dia,
+                 count(*) FILTER (WHERE trusted AND label = 'en') OVER w AS en,
+                 count(*) FILTER (WHERE trusted AND label <> 'en') OVER w + count(*) FILTER (WHERE marked) OVER w AS non,
+                 count(*) FILTER (WHERE fresh) OVER w AS n_labels, count(*) FILTER (WHERE fresh AND label <> 'en') OVER w AS n_other,
+                 coalesce(max(prob) FILTER (WHERE trusted) OVER w, 0.0) AS conf
+          FROM firsts WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+        judged AS (
+          SELECT *, CASE WHEN trusted AND n_labels + (dia > 0)::INT >= 2 AND accepted >= 2
+                 THEN CASE WHEN non >= 2 AND non / accepted >= 0.4 THEN 'non_english' ELSE 'mixed' END END AS early FROM tally),
+        state AS (
+          SELECT * FROM judged QUALIFY row_number() OVER (
+            PARTITION BY doc_id ORDER BY early IS NULL, CASE WHEN early IS NULL THEN -pos ELSE pos END) = 1),
+        other AS (
+          SELECT t.doc_id, t.label, count(*) AS n, min(t.pos) AS first_pos FROM trusting t JOIN state s USING (doc_id)
+          WHERE t.trusted AND t.label <> 'en' AND t.pos <= s.pos GROUP BY ALL),
+        top_other AS (SELECT * FROM other QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first_pos) = 1),
+        ladder AS (
+          SELECT s.*, coalesce(t.label, '') AS top_label, coalesce(t.n, 0) AS top_n, CASE
+            WHEN early IS NOT NULL THEN early
+            WHEN accepted < 2 THEN NULL
+            WHEN en >= 2 AND en / accepted >= 0.75 THEN 'english_only'
+            WHEN non = 1 AND n_other + (dia > 0)::INT > 1 THEN 'mixed'
+            WHEN non = 1 AND dia > 0 AND (non + dia) / accepted >= 0.4 THEN 'non_english'
+            WHEN non = 1 THEN NULL
+            WHEN non > 0 AND en = 0 AND non / accepted >= 0.4 THEN 'non_english'
+            WHEN non > 0 THEN 'mixed'
+            ELSE 'english_only' END AS status,
+            early IS NULL AND non = 1 AND dia > 0 AND NOT (en >= 2 AND en / accepted >= 0.75)
+              AND NOT n_other + (dia > 0)::INT > 1 AS both_counts
+          FROM state s LEFT JOIN top_other t USING (doc_id))"""
+
+
+@registry.add(
+    "lang_model_votes",
+    f"""WITH {MIXED_SQL}, {language_sql('mixed', 'doc_id', 'text', 500)}, {HEURISTIC_SQL}, {MODEL_SQL}, said AS (
+          SELECT doc_id, coalesce(status, h.lang_status) AS lang_status,
+            CASE WHEN status IS NULL THEN h.accepted_chunks ELSE accepted END::INT AS accepted_chunks,
+            CASE WHEN status IS NULL THEN h.en_votes ELSE en END::INT AS en_votes,
+            CASE WHEN status IS NULL THEN h.non_votes WHEN both_counts THEN non + dia ELSE non END::INT AS non_votes,
+            CASE WHEN status IS NULL THEN h.top_noneng_label ELSE top_label END AS top_noneng_label,
+            CASE WHEN status IS NULL THEN h.top_noneng_votes ELSE top_n END::INT AS top_noneng_votes,
+            CASE WHEN status IS NULL THEN h.max_conf ELSE conf END::DOUBLE AS max_conf
+          FROM heuristic h LEFT JOIN ladder USING (doc_id))
+        SELECT *, lang_status <> 'english_only' AS has_other_lang FROM said""",
+)
 def _(spark, sf):
     return L.detect_language(
         _docs(spark, sf), "text", predictor=marker_predictor(), return_debug=True, chunk_size=500
