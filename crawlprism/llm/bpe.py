@@ -5,8 +5,10 @@ holds its documents as ranks in order, which are the positions. The words of all
 word's rows meet in one bucket, where it is encoded once. The ids go back to the blocks, and each block puts its
 documents together by position. Decoding looks ids up in the token-byte table.
 
-A word has one row in a block however often it occurs there, so no word is hot. Blocks are written to the shared
-folder before their words are dealt: both sides then see the same blocks, whatever executors are lost.
+A word has one row in a block however often it occurs there, so no word is hot. Words and documents leave the
+blocks in one shuffle, which both the encoding and the putting together read. A block depends on its partition's rows
+alone, which are sorted first, and its name holds a digest of its words: a repeated task makes the same blocks, and a
+block that came out otherwise would be reported, not mixed up.
 
 Defined cases: null text is empty and has no ids. Repeated rows give repeated rows. An empty table gives an empty
 result. Other columns are not looked at. The vocabulary is a file of ranks; its path is a parameter.
@@ -27,17 +29,18 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from crawlprism.llm.common import stored
 from crawlprism.llm.pretokens import splitter
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 # A block closes at this many characters, or pre-tokens.
-BLOCK_CHARS = 24 * 1024 * 1024
+BLOCK_CHARS = 16 * 1024 * 1024
 
-# About so much text for each bucket of words.
+# About so much text for each bucket of words, and for each partition of the shuffle.
 BUCKET_BYTES = 64 * 1024 * 1024
+PARTITION_BYTES = 4 * 1024 * 1024
 
 
 @lru_cache(2)
@@ -81,9 +84,6 @@ class _Codes(dict):
         return code
 
 
-_BLOCK = [("block", pa.string()), ("bucket", pa.int64()), ("payload", pa.binary())]
-
-
 class _Block:
     """Documents on their way into one block."""
 
@@ -95,64 +95,70 @@ class _Block:
         self.ids.append(doc_id)
         self.chars += chars
 
-    def rows(self, name: str, n_buckets: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    def rows(self, place: str, n_buckets: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
         sequence = np.concatenate(self.parts)
         order = np.argsort(-np.bincount(sequence, minlength=len(self.codes)), kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
         words = [w.encode() for w in self.codes]
+        digest = xxhash.xxh3_128(rank.tobytes())
+        for w in words:
+            digest.update(w + b"\xff")
+        block = f"{place}-{digest.hexdigest()}"
         bucket = np.fromiter((xxhash.xxh32_intdigest(w) % n_buckets for w in words), np.int64, len(words))
         by_bucket = np.lexsort((rank, bucket))
         starts = np.flatnonzero(np.concatenate(([True], np.diff(bucket[by_bucket]) > 0))) if words else []
-        buckets, payloads = [], []
         for part in np.split(by_bucket, starts[1:]) if words else ():
             own = [words[i] for i in part.tolist()]
-            buckets.append(int(bucket[part[0]]))
-            payloads.append(_pack(rank[part], np.array([len(w) for w in own], np.uint32), tail=b"".join(own)))
-        # the documents come after all buckets; ranks are kept as planes of bytes, as high bytes are mostly zero
+            payload = _pack(rank[part], np.array([len(w) for w in own], np.uint32), tail=b"".join(own))
+            yield _row(f"words-{bucket[part[0]]}", block, payload, None, id_type)
+        # ranks are kept as planes of bytes, as high bytes are mostly zero
         ranked = rank[sequence] if len(sequence) else sequence
         planes = [((ranked >> np.uint32(8 * i)) & np.uint32(0xFF)).astype(np.uint8) for i in range(4)]
-        buckets.append(n_buckets)
-        payloads.append(_pack(np.array([len(p) for p in self.parts], np.uint32), *planes))
-        n = len(buckets)
-        ids = pa.array([None] * (n - 1) + [self.ids], pa.list_(id_type))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([name] * n), pa.array(buckets, pa.int64()), pa.array(payloads, pa.binary()), ids],
-            ["block", "bucket", "payload", "doc_ids"],
-        )
+        payload = _pack(np.array([len(p) for p in self.parts], np.uint32), *planes)
+        yield _row(block, block, payload, self.ids, id_type)
+
+
+def _row(key: str, block: str, payload: bytes, doc_ids: list | None, id_type: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([key]), pa.array([block]), pa.array([payload], pa.binary()), pa.array([doc_ids], pa.list_(id_type))],
+        ["key", "block", "payload", "doc_ids"],
+    )
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str, n_buckets: int, pattern: str) -> DataFrame:
-    """(block, bucket, payload, doc_ids): the words of each block by bucket, and in bucket ``n_buckets`` its documents."""
+    """(key, block, payload, doc_ids): under a bucket's key the words of a block, under its own its documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, block, n = splitter(pattern), _Block(), 0
-        prefix = f"{TaskContext.get().partitionId()}-{TaskContext.get().taskAttemptId()}"
+        partition = TaskContext.get().partitionId()
         for batch in batches:
             id_type = batch.column(0).type
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 block.add(doc_id, split(text), len(text))
                 if block.chars >= BLOCK_CHARS:
-                    yield from block.rows(f"{prefix}-{n}", n_buckets, id_type)
+                    yield from block.rows(f"{partition}-{n}", n_buckets, id_type)
                     block, n = _Block(), n + 1
         if block.ids:
-            yield from block.rows(f"{prefix}-{n}", n_buckets, id_type)
+            yield from block.rows(f"{partition}-{n}", n_buckets, id_type)
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"block string, bucket bigint, payload binary, doc_ids array<{kind}>")
+    return rows.sortWithinPartitions("doc_id", "text").mapInArrow(run, f"key string, block string, payload binary, doc_ids array<{kind}>")
 
 
-def _encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The same rows with ids in place of words. Rows come sorted by bucket; within one, a word is encoded once."""
+def _encode_words(dealt: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(key, ids): to each block the ids of its words. Rows come sorted by key; within a bucket a word is encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, at, known = _encoding(path, pattern).encode_ordinary, None, {}
         for batch in batches:
-            payloads = []
-            for bucket, payload in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if bucket != at:
-                    at, known = bucket, {}
+            blocks_, payloads = [], []
+            for key, block, payload in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                if key == block:
+                    continue  # documents
+                if key != at:
+                    at, known = key, {}
                 rank, sizes, text = _unpack(payload, np.uint32, np.uint32)
                 ends = np.cumsum(sizes, dtype=np.int64)
                 found = []
@@ -163,31 +169,28 @@ def _encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
                         ids = known[word] = np.array(encode(word.decode()), np.uint32).tobytes()
                     found.append(ids)
                 counts = np.array([len(ids) // 4 for ids in found], np.uint32)
+                blocks_.append(block)
                 payloads.append(_pack(rank, counts, tail=b"".join(found)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(payloads, pa.binary())], ["block", "bucket", "payload"])
+            yield pa.RecordBatch.from_arrays([pa.array(blocks_, pa.string()), pa.array(payloads, pa.binary())], ["key", "ids"])
 
-    return words.mapInArrow(run, "block string, bucket bigint, payload binary")
+    return dealt.mapInArrow(run, "key string, ids binary")
 
 
-def _assemble(rows: DataFrame, n_buckets: int, kind: str) -> DataFrame:
-    """Documents as id lists. Rows come sorted by block and bucket, so a block's documents follow its words."""
+def _assemble(id_type: pa.DataType):
+    """The documents of a block as id lists, from its rows and the ids of its words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, parts = None, []
-        for batch in batches:
-            id_type = batch.column(3).type.value_type
-            for i, (block, bucket, payload) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
-                if block != at:
-                    at, parts = block, []
-                if bucket < n_buckets:
-                    rank, counts, ids = _unpack(payload, np.uint32, np.uint32)
-                    parts.append((rank, counts, np.frombuffer(ids, np.uint32)))
-                    continue
-                doc_ids = batch.column(3)[i].values
-                yield from _documents(parts, payload, doc_ids, id_type)
-                parts = []
+    def run(rows: pa.Table, encoded: pa.Table) -> pa.Table:
+        fields = pa.schema([("doc_id", id_type), ("ids", pa.list_(pa.int32()))])
+        if not len(rows) or rows.column("key")[0].as_py() != rows.column("block")[0].as_py():
+            return fields.empty_table()  # words
+        parts = []
+        for payload in encoded.column("ids").to_pylist():
+            rank, counts, ids = _unpack(payload, np.uint32, np.uint32)
+            parts.append((rank, counts, np.frombuffer(ids, np.uint32)))
+        row = {name: rows.column(name)[0] for name in ("payload", "doc_ids")}
+        return pa.Table.from_batches(_documents(parts, row["payload"].as_py(), row["doc_ids"].values, id_type), fields)
 
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return run
 
 
 # Ids that one Arrow batch of the result holds.
@@ -196,6 +199,8 @@ OUT_IDS = 1_000_000
 
 def _documents(parts: list, payload: bytes, doc_ids: pa.Array, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     n_words = sum(len(rank) for rank, _, _ in parts)
+    if parts and not np.array_equal(np.sort(np.concatenate([rank for rank, _, _ in parts])), np.arange(n_words)):
+        raise ValueError("a block does not have the words it was made with")
     counts, starts = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64)
     base = 0
     for rank, own, ids in parts:
@@ -204,6 +209,8 @@ def _documents(parts: list, payload: bytes, doc_ids: pa.Array, id_type: pa.DataT
         base += len(ids)
     table = np.concatenate([ids for _, _, ids in parts]) if parts else np.zeros(0, np.uint32)
     lengths, *planes, _ = _unpack(payload, np.uint32, *[np.uint8] * 4)
+    if len(planes[0]) and int(_ranks(planes, 0, len(planes[0])).max()) >= n_words:
+        raise ValueError("a block does not have the words it was made with")
     ends = np.cumsum(lengths, dtype=np.int64)
     weight = np.concatenate(([0], np.cumsum(counts[_ranks(planes, 0, int(ends[-1]))]))) if len(ends) and ends[-1] else np.zeros(1, np.int64)
     total = weight[ends] if len(ends) else ends  # ids up to the end of each document
@@ -237,13 +244,13 @@ def encode(
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("bigint"))).first()[0] or 0
-    n_buckets = max(width, -(-total // BUCKET_BYTES))
-    kind = docs.schema[id_col].dataType.simpleString()
-    held = stored(blocks(docs, id_col, text_col, n_buckets, pattern), "bpe-blocks")
-    words = held.where(F.col("bucket") < n_buckets).select("block", "bucket", "payload")
-    encoded = _encode_words(words.repartition("bucket").sortWithinPartitions("bucket"), path, pattern)
-    everything = encoded.withColumn("doc_ids", F.lit(None).cast(f"array<{kind}>")).unionByName(held.where(F.col("bucket") == n_buckets))
-    return _assemble(everything.repartition("block").sortWithinPartitions("block", "bucket"), n_buckets, kind)
+    n_buckets, n_partitions = max(width, -(-total // BUCKET_BYTES)), max(width, -(-total // PARTITION_BYTES))
+    # one shuffle, read twice: the columns are taken as they are, so that Spark sees the same exchange
+    dealt = blocks(docs, id_col, text_col, n_buckets, pattern).repartition(n_partitions, "key")
+    encoded = _encode_words(dealt.sortWithinPartitions("key"), path, pattern)
+    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, ids array<int>"
+    id_type = to_arrow_type(docs.schema[id_col].dataType)
+    return dealt.groupBy("key").cogroup(encoded.groupBy("key")).applyInArrow(_assemble(id_type), schema)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
