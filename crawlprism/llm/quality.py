@@ -160,3 +160,50 @@ def digest(measured: DataFrame) -> DataFrame:
     return measured.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+def _limits(values: dict[int, float]) -> str:
+    return " OR ".join(f"(m = {n} AND share > {limit})" for n, limit in values.items())
+
+
+_WORD_SQL = r"'[^\x20\x09-\x0D]+'"
+
+SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {_WORD_SQL}) AS w FROM documents),
+word AS (SELECT rid, unnest(range(len(w))) AS p, length(unnest(w)) AS size FROM d),
+total AS (SELECT rid, sum(size) AS chars FROM word GROUP BY rid),
+line AS (SELECT rid, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM d),
+again AS (
+  SELECT rid, line FROM line WHERE regexp_matches(line, {_WORD_SQL})
+  QUALIFY row_number() OVER (PARTITION BY rid, line ORDER BY pos) > 1),
+lines AS (
+  SELECT rid, count(*) AS n_dup_lines, sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))) AS dup_chars FROM again GROUP BY rid),
+gram AS (
+  SELECT rid, m, i, array_to_string(w[i + 1:i + m], ' ') AS g
+  FROM (SELECT rid, w, m, unnest(range(len(w) - m + 1)) AS i FROM d, (SELECT unnest(range(2, 11)) AS m) WHERE len(w) >= m)),
+counted AS (
+  SELECT rid, m, i, g, count(*) OVER (PARTITION BY rid, m, g) AS n, row_number() OVER (PARTITION BY rid, m, g ORDER BY i) AS nth FROM gram),
+repeated AS (SELECT rid, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM counted WHERE m = {REPEAT_WINDOW} AND n > 1) GROUP BY rid),
+top AS (
+  SELECT rid, m, g FROM counted WHERE m IN ({", ".join(map(str, TOP_NGRAM))}) AND n > 1
+  QUALIFY row_number() OVER (PARTITION BY rid, m ORDER BY n DESC, i) = 1),
+place AS (
+  SELECT DISTINCT rid, m, p, is_top FROM (
+    SELECT rid, m, unnest(range(i, i + m)) AS p, true AS is_top FROM counted JOIN top USING (rid, m, g)
+    UNION ALL
+    SELECT rid, m, unnest(range(i, i + m)), false FROM counted WHERE m IN ({", ".join(map(str, DUPLICATED_NGRAM))}) AND nth > 1)),
+shares AS (SELECT rid, m, is_top, sum(size) / any_value(chars) AS share FROM place JOIN word USING (rid, p) JOIN total USING (rid) GROUP BY ALL),
+over AS (
+  SELECT DISTINCT rid FROM shares WHERE (is_top AND ({_limits(TOP_NGRAM)})) OR (NOT is_top AND ({_limits(DUPLICATED_NGRAM)}))
+  UNION SELECT rid FROM lines JOIN total USING (rid) WHERE dup_chars / chars > {DUPLICATED_LINES}),
+base AS (
+  SELECT rid, doc_id, len(w)::BIGINT AS n_words, coalesce(chars, 0)::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN total USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN repeated USING (rid))
+SELECT * EXCLUDE (rid), n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words) AND rid NOT IN (SELECT rid FROM over) AS kept
+FROM base
+"""

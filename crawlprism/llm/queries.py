@@ -46,7 +46,7 @@ def op6(spark, sf_dir):
     return token_files.token_round_trip(table(spark, sf_dir, "documents"))
 
 
-@_add("op7_quality")
+@_add("op7_quality", quality.SQL)
 def op7(spark, sf_dir):
     return quality.digest(quality.repetition(table(spark, sf_dir, "documents")))
 
@@ -72,7 +72,7 @@ def op8(spark, sf_dir):
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
-@_add("op9_suffix_dedup")
+@_add("op9_suffix_dedup", suffix_dedup.SQL)
 def op9(spark, sf_dir):
     return suffix_dedup.digest(suffix_dedup.without_repeats(table(spark, sf_dir, "documents")))
 

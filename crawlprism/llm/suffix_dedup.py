@@ -528,3 +528,27 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+t AS (SELECT rid, doc_id, h, length(h) // 2 AS n FROM d),
+w AS (
+  SELECT rid, doc_id, i, substr(h, 2 * i + 1, 100) AS g
+  FROM (SELECT rid, doc_id, h, unnest(range(n - 49)) AS i FROM t WHERE n >= 50 AND doc_id IS NOT NULL)),
+f AS (SELECT g, min(doc_id) AS first_id FROM w GROUP BY g),
+hit AS (SELECT rid, i FROM w JOIN f USING (g) WHERE doc_id > first_id),
+apart AS (SELECT rid, i, CASE WHEN i <= lag(i) OVER (PARTITION BY rid ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM hit),
+run AS (
+  SELECT rid, min(i) AS s, max(i) + 50 AS e
+  FROM (SELECT *, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS k FROM apart) GROUP BY rid, k),
+removed AS (SELECT rid, sum(e - s) AS n_removed, count(*) AS n_spans FROM run GROUP BY rid),
+part AS (
+  SELECT rid, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 0) AS a, s AS b FROM run
+  UNION ALL SELECT rid, max(e), NULL FROM run GROUP BY rid),
+kept AS (
+  SELECT rid, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS k FROM part JOIN t USING (rid) GROUP BY rid)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM t LEFT JOIN removed USING (rid) LEFT JOIN kept USING (rid)
+"""
