@@ -36,7 +36,7 @@ from crawlprism.llm.pretokens import splitter
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 # A block closes at this many characters, or pre-tokens.
-BLOCK_CHARS = 16 * 1024 * 1024
+BLOCK_CHARS = 8 * 1024 * 1024
 
 # About so much text for each bucket of words, and for each partition of the shuffle.
 BUCKET_BYTES = 64 * 1024 * 1024

@@ -27,12 +27,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_KEPT: dict = {}
+
+
+def kept(key: tuple, build: Callable):
+    """What a Python worker keeps between tasks: one object, so that the models of several operators do not add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield fn(batch)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlprism.llm.common import map_batches, stored, text_bytes
+from crawlprism.llm.common import kept, map_batches, stored, text_bytes
 
 WINDOW = 10
 
@@ -130,15 +130,9 @@ def item_pieces(benchmark: DataFrame, item_col: str, text_col: str, window: int)
     return rows.mapInArrow(run, "item string, piece binary")
 
 
-_TABLES: dict[tuple[str, int], Patterns] = {}
-
-
 def _patterns(shared, key: str, window: int) -> Patterns:
     """Tables of one block, built once per worker; the worker keeps one block at a time."""
-    if (key, window) not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key, window] = Patterns(shared.value, window)
-    return _TABLES[key, window]
+    return kept(("patterns", key, window), lambda: Patterns(shared.value, window))
 
 
 HITS = "doc_id {id}, text_key binary, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"

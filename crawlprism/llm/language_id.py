@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlprism.llm.common import map_batches
+from crawlprism.llm.common import kept, map_batches
 
 # The bounded sample a language is learned from: so many texts, so many code points of each, and in all
 # so many for the automaton and for the normalising rate.
 SAMPLE_TEXTS = 128
 SAMPLE_CHARS = 2048
-AUTOMATON_CHARS = 32_768
+AUTOMATON_CHARS = 16_384
 RATE_CHARS = 8_192
 
 # The selected ids are broadcast up to this many languages.
@@ -230,15 +230,9 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return sample
 
 
-_MODELS: dict[str, Model] = {}
-
-
 def _model(shared, key: str) -> Model:
     """Built once in each worker from the broadcast sample."""
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(shared.value)
-    return _MODELS[key]
+    return kept(("language", key), lambda: Model(shared.value))
 
 
 def share(docs: DataFrame, sample: dict[str, list[str]]):

@@ -17,15 +17,13 @@ component has no id at all, its component_id is null and it is kept. Other colum
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlprism.llm.common import map_batches, stored, text_bytes
+from crawlprism.llm.common import kept, map_batches, stored, text_bytes
 from crawlprism.llm.graph import components
 
 # 40 bands of 5: a pair at similarity 0.8 is missed with a probability of 1.2e-7.
@@ -45,9 +43,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(1 << 19)
-def _word(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+# Words whose hash a worker remembers; others are hashed each time.
+CACHED_WORDS = 1 << 17
+
+
+class _Words(dict):
+    def __missing__(self, word: bytes) -> int:
+        code = xxhash.xxh3_64_intdigest(word)
+        if len(self) < CACHED_WORDS:
+            self[word] = code
+        return code
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -55,7 +60,7 @@ def shingles(text: bytes, width: int) -> np.ndarray:
     words = text.translate(_LOWER).split()
     if not words:
         return np.zeros(0, np.uint64)
-    codes = np.fromiter(map(_word, words), np.uint64, len(words))
+    codes = np.fromiter(map(kept(("near-words",), _Words).__getitem__, words), np.uint64, len(words))
     width = min(width, len(codes))
     folded = np.full(len(codes) - width + 1, width, np.uint64)
     for j in range(width):
@@ -287,11 +292,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Empty texts are linked with nothing and all stay, apart from such repeated rows.
     """
     found = near_duplicates(docs, id_col, text_col, **options)
-    kept = found.where("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_key"), "text_key").distinct()
+    keep = found.where("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_key"), "text_key").distinct()
     keyed = docs.select(
         F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("doc_key"), F.unhex(F.md5(text_bytes(docs, text_col))).alias("text_key")
     )
-    return keyed.join(kept, ["doc_key", "text_key"], "left_semi").dropDuplicates(["doc_key", "text_key"]).select("row.*")
+    return keyed.join(keep, ["doc_key", "text_key"], "left_semi").dropDuplicates(["doc_key", "text_key"]).select("row.*")
 
 
 def digest(found: DataFrame) -> DataFrame:
