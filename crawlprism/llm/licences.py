@@ -1,14 +1,18 @@
-"""Licence scans: a paragraph classifier, with template comparison behind it. DataFrame functions only.
+"""Licence scans: a passage classifier, with template comparison behind it. DataFrame functions only.
 
 Features are the word n-grams (one to three words) of the licence sentences that hold more than function words. A
 multinomial logistic regression with an L1 penalty gives them sparse weights for each family, for other legal text
 (``unknown``) and for ordinary text (``none``). Temperature and threshold are calibrated on a held-back part of the
-training rows. A family counts when its probability reaches the threshold and a sentence of the family is found in the
-paragraph for the most part; other legal text, and a family that is not confirmed, is ``unknown``.
+training rows.
+
+A paragraph is a line, but notices are wrapped: n-grams have word positions that go on over line ends, up to a line without
+words. Where most of a sentence of a family lies close together, that passage is scored by itself, and every family whose
+passage reaches the threshold can count, the most probable one for each line that it takes words of. A line of other legal
+text, or of a family that is not confirmed, is ``unknown``.
 
 Training rows are the fixed sentences, alone and among ordinary words, and BACKGROUND_ROWS paragraphs of the documents,
 the first by a hash. The weights are a table of at most the n-grams of the fixed sentences, which bounds its broadcast.
-Paragraphs without any word of those n-grams have no feature and are ``none``, so only the others are taken apart.
+Lines without any word of those n-grams have no feature and are ``none``, so only the others are taken apart.
 
 Defined cases: null or empty text has no paragraphs. Repeated rows give repeated rows. An empty table gives an empty
 result. Other columns are not looked at.
@@ -37,6 +41,12 @@ MAX_WORDS = 3
 REG_PARAM = 0.002
 MIN_COVERAGE = 0.75
 MIN_PRECISION = 0.99
+# Words of a sentence may be spread over so many times its length.
+SPREAD = 2
+# What a line without words adds to the positions: more than a passage can span.
+GAP = 1000
+# Lines whose words are counted together, for the position of a line.
+LINE_BLOCK = 256
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 3.0)
 THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 
@@ -74,6 +84,7 @@ class Vocabulary:
     terms: list[str]
     gate: list[str]  # every term holds one of these words
     sentences: list[tuple[str, list[str]]]  # family and longest n-grams of each sentence
+    lengths: list[int]  # words of each sentence
 
 
 def vocabulary(stop_words: list[str]) -> Vocabulary:
@@ -85,7 +96,7 @@ def vocabulary(stop_words: list[str]) -> Vocabulary:
     def grams(words: list[str], n: int) -> list[str]:
         return list(dict.fromkeys(" ".join(words[i : i + n]) for i in range(len(words) - n + 1)))
 
-    terms, gate, sentences = set(), set(), []
+    terms, gate, sentences, lengths = set(), set(), [], []
     for family, texts in [*FAMILIES.items(), (OTHER, UNKNOWN)]:
         for text in texts:
             words = split(text)
@@ -94,7 +105,8 @@ def vocabulary(stop_words: list[str]) -> Vocabulary:
             gate |= {w for w in words if w not in stop and not w.isdigit()}
             longest = [g for g in grams(words, min(MAX_WORDS, len(words))) if g in own]
             sentences.append((family, longest))
-    return Vocabulary(sorted(terms), sorted(gate), sentences)
+            lengths.append(len(words))
+    return Vocabulary(sorted(terms), sorted(gate), sentences, lengths)
 
 
 def default_vocabulary() -> Vocabulary:
@@ -185,7 +197,7 @@ def _calibrated(held: DataFrame) -> tuple[float, float]:
 
 
 def _term_table(spark: SparkSession, c: Classifier) -> DataFrame:
-    """(term, weights by class, sentences it is a long n-gram of), for terms with either."""
+    """(term, j, weights by class, sentences it is a long n-gram of), for terms with either."""
     place: dict[str, list[int]] = {}
     for i, (_, grams) in enumerate(c.vocab.sentences):
         for g in grams:
@@ -194,55 +206,172 @@ def _term_table(spark: SparkSession, c: Classifier) -> DataFrame:
     for j, term in enumerate(c.vocab.terms):
         weights = [row[j] for row in c.weights]
         if any(weights) or term in place:
-            rows.append({"term": term, "weights": weights, "sentences": place.get(term, [])})
-    return local_rows(spark, rows, "term string, weights array<double>, sentences array<int>")
+            rows.append({"term": term, "j": j, "weights": weights, "sentences": place.get(term, [])})
+    return local_rows(spark, rows, "term string, j int, weights array<double>, sentences array<int>")
 
 
-KEY = ["doc_key", "text_key", "pos"]
+DOC = ["doc_key", "text_key"]
+KEY = [*DOC, "pos"]
 
 
-def licensed_paragraphs(docs: DataFrame, c: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_key, text_key, pos, licence, probability) of the paragraphs that are not ``none``."""
-    spark = docs.sparkSession
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda s, x: s + x)
+
+
+def gated_lines(text: Column, gate: Column) -> Column:
+    """(pos, start, own, words) of the lines with a gate word; ``words`` go on for what an n-gram may take of the next lines.
+
+    ``start`` is the position of the first of the ``own`` words. Words of blocks of lines are added up first.
+    """
+
+    def per_text(lines: Column) -> Column:
+        sizes = F.transform(lines, lambda w: F.when(F.size(w) == 0, F.lit(GAP)).otherwise(F.size(w)))
+        return _let(sizes, lambda sizes: _let(_blocks(lines, sizes), lambda blocks: per_line(lines, sizes, blocks)))
+
+    def per_line(lines: Column, sizes: Column, blocks: Column) -> Column:
+        def row(words: Column, k: Column) -> Column:
+            block = F.floor(k / LINE_BLOCK).cast("int")
+            start = _sum(F.slice(blocks, 1, block)) + _sum(F.slice(sizes, block * LINE_BLOCK + 1, k - block * LINE_BLOCK))
+            own = F.size(words)
+            return F.struct(k.alias("pos"), start.alias("start"), own.alias("own"), _with_next(lines, words, k).alias("words"))
+
+        def gated(words: Column, k: Column) -> Column:
+            return F.when((F.size(words) > 0) & F.arrays_overlap(_with_next(lines, words, k), gate), row(words, k))
+
+        return F.filter(F.transform(lines, gated), lambda x: x.isNotNull())
+
+    return _let(F.transform(F.split(text, "\n"), words_of), per_text)
+
+
+def _blocks(lines: Column, sizes: Column) -> Column:
+    last = F.floor((F.size(lines) - 1) / LINE_BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: _sum(F.slice(sizes, b * LINE_BLOCK + 1, F.lit(LINE_BLOCK))))
+
+
+def _with_next(lines: Column, words: Column, k: Column) -> Column:
+    none = F.array().cast("array<string>")
+    one, two = F.coalesce(F.get(lines, k + 1), none), F.coalesce(F.get(lines, k + 2), none)
+    after = F.when(F.size(one) == 1, F.concat(one, F.slice(two, 1, MAX_WORDS - 2))).otherwise(F.slice(one, 1, MAX_WORDS - 1))
+    return F.concat(words, after)
+
+
+def placed_terms() -> Column:
+    """(i, n, term) of every n-gram that begins in the line."""
+    words, own = F.col("line.words"), F.col("line.own")
+    none = F.array().cast("array<struct<i:int,n:int,term:string>>")
+    grams = []
+    for n in range(1, MAX_WORDS + 1):
+        last = F.least(own, F.size(words) - (n - 1))
+        placed = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), _placed(words, n))
+        grams.append(F.when(last >= 1, placed).otherwise(none))
+    return F.concat(*grams)
+
+
+def _placed(words: Column, n: int):
+    return lambda i: F.struct((i - 1).alias("i"), F.lit(n).alias("n"), _gram(words, n)(i).alias("term"))
+
+
+def _found_terms(docs: DataFrame, c: Classifier, id_col: str, text_col: str) -> DataFrame:
+    """(doc_key, text_key, pos, i, n, at, own, j, sentences): the known n-grams with line, place in the line and position."""
     doc_key = F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("doc_key")
-    paragraphs = docs.where(F.col(text_col).isNotNull()).select(doc_key, F.col(text_col).alias("text")).select(
-        "doc_key", F.md5(F.col("text").cast("binary")).alias("text_key"), F.posexplode(F.split("text", "\n")).alias("pos", "paragraph")
-    )
-    # every feature holds one of these words
-    gated = (
-        paragraphs.select(*KEY, words_of(F.col("paragraph")).alias("words"))
-        .where(F.arrays_overlap("words", _strings(c.vocab.gate)))
-        .select(*KEY, F.explode(terms_of(F.col("words"))).alias("term"))
+    lines = docs.where(F.col(text_col).isNotNull()).select(
+        doc_key, F.md5(F.col(text_col).cast("binary")).alias("text_key"), F.explode(gated_lines(F.col(text_col), _strings(c.vocab.gate))).alias("line")
     )
+    terms = lines.select(*DOC, F.col("line.pos").alias("pos"), F.col("line.start").alias("start"), F.col("line.own").alias("own"), F.explode(placed_terms()).alias("t"))
     # the table has at most the n-grams of the fixed sentences
-    found = gated.join(F.broadcast(_term_table(spark, c)), "term").distinct()
+    known = terms.select(*KEY, "t.i", "t.n", (F.col("start") + F.col("t.i")).alias("at"), "own", "t.term").join(
+        F.broadcast(_term_table(docs.sparkSession, c).select("term", "j", "sentences")), "term"
+    )
+    return known.drop("term").distinct()
+
+
+def _scored(terms: DataFrame, group: list[str], c: Classifier, *more: Column) -> DataFrame:
+    """(group, probability, k, more): the best class of each group of n-grams. ``terms`` has each n-gram once."""
+    weights = F.broadcast(_term_table(terms.sparkSession, c).select("j", "weights"))
     sums = [F.sum(F.col("weights")[k]).alias(f"w{k}") for k in range(len(CLASSES))]
     raw = F.array(*[F.col(f"w{k}") + F.lit(b) for k, b in enumerate(c.intercepts)])
-    scored = found.groupBy(*KEY).agg(*sums).select(*KEY, _probabilities(raw, c.temperature).alias("p"))
-    best = scored.select(*KEY, F.array_max("p").alias("probability"), F.array_position("p", F.array_max("p")).cast("int").alias("k")).where(F.col("k") > 1)
-    named = best.select(*KEY, "probability", F.element_at(_strings(CLASSES), F.col("k")).alias("family"))
-    sentences = local_rows(
-        spark, [{"sentence": i, "family": f, "n": len(g)} for i, (f, g) in enumerate(c.vocab.sentences)], "sentence int, family string, n int"
+    summed = terms.join(weights, "j").groupBy(*group).agg(*sums, *more)
+    kept = [x for x in summed.columns if x not in {f"w{k}" for k in range(len(CLASSES))}]
+    return summed.select(*kept, _probabilities(raw, c.temperature).alias("p")).select(
+        *kept, F.array_max("p").alias("probability"), F.array_position("p", F.array_max("p")).cast("int").alias("k")
     )
-    coverage = (
-        found.select(*KEY, F.explode("sentences").alias("sentence"))
-        .groupBy(*KEY, "sentence")
-        .agg(F.count(F.lit(1)).alias("hits"))
+
+
+def passages(found: DataFrame, c: Classifier) -> DataFrame:
+    """(doc_key, text_key, sentence, start, end): from an n-gram of a sentence, the words in which most of its n-grams lie."""
+    rows = [{"sentence": i, "grams": len(g), "span": SPREAD * n} for i, ((f, g), n) in enumerate(zip(c.vocab.sentences, c.vocab.lengths)) if f != OTHER]
+    sentences = local_rows(found.sparkSession, rows, "sentence int, grams int, span int")
+    longest = max(r["span"] for r in rows)
+    hits = found.select(*DOC, "at", "n", "j", F.explode("sentences").alias("sentence"))
+    near = Window.partitionBy(*DOC, "sentence").orderBy("at").rangeBetween(0, longest - 1)
+    ahead = (
+        hits.withColumn("ahead", F.collect_list(F.struct("at", "n", "j")).over(near))
         .join(F.broadcast(sentences), "sentence")
-        .groupBy(*KEY, "family")
-        .agg(F.max(F.col("hits") / F.col("n")).alias("coverage"))
+        .withColumn("ahead", F.array_sort(F.filter("ahead", lambda h: h["at"] + h["n"] <= F.col("at") + F.col("span"))))
+    )
+    # the first place of each n-gram, so that the passage ends as soon as all are there
+    places = F.transform("ahead", lambda h: h["j"])
+    firsts = F.filter("ahead", lambda h, k: F.array_position(F.col("places"), h["j"]) == k + 1)
+    return (
+        ahead.withColumn("places", places)
+        .withColumn("firsts", firsts)
+        .where(F.size("firsts") >= MIN_COVERAGE * F.col("grams"))
+        .select(*DOC, "sentence", F.col("at").alias("start"), F.array_max(F.transform("firsts", lambda h: h["at"] + h["n"])).alias("end"))
+        .distinct()
     )
-    confirmed = (F.col("family") != OTHER) & (F.col("probability") >= c.threshold) & (F.coalesce("coverage", F.lit(0.0)) >= MIN_COVERAGE)
-    return named.join(coverage, [*KEY, "family"], "left").select(*KEY, F.when(confirmed, F.col("family")).otherwise(OTHER).alias("licence"), "probability")
+
+
+def confirmed_lines(found: DataFrame, c: Classifier) -> DataFrame:
+    """(doc_key, text_key, pos, licence, probability) of the lines that a confirmed passage takes words of."""
+    spark = found.sparkSession
+    longest = SPREAD * max(c.vocab.lengths)
+    place = lambda x: F.floor(x / longest)
+    group = [*DOC, "sentence", "start", "end"]
+    parts = passages(found, c).withColumn("part", F.explode(F.sequence(place(F.col("start")), place(F.col("end")))))
+    inside = (
+        found.select(*KEY, "at", "n", "j", place(F.col("at")).alias("part"))
+        .join(parts, [*DOC, "part"])
+        .where((F.col("at") >= F.col("start")) & (F.col("at") + F.col("n") <= F.col("end")))
+        .groupBy(*group, "j")
+        .agg(F.collect_set("pos").alias("lines"))
+    )
+    scored = _scored(inside, group, c, F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
+    families = local_rows(
+        spark, [{"sentence": i, "licence": f, "k": CLASSES.index(f) + 1} for i, (f, _) in enumerate(c.vocab.sentences)], "sentence int, licence string, k int"
+    )
+    return (
+        scored.where(F.col("probability") >= c.threshold)
+        .join(F.broadcast(families), ["sentence", "k"])
+        .select(*DOC, F.explode("lines").alias("pos"), "licence", "probability")
+    )
+
+
+def legal_lines(found: DataFrame, c: Classifier) -> DataFrame:
+    """(doc_key, text_key, pos) of the lines that are not ``none`` by themselves."""
+    own = found.where(F.col("i") + F.col("n") <= F.col("own")).select(*KEY, "j").distinct()
+    return _scored(own, KEY, c).where(F.col("k") > 1).select(*KEY)
+
+
+def licensed_paragraphs(docs: DataFrame, c: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_key, text_key, pos, licences, probability) of the lines that are not ``none``; ``licences`` is empty for unknown ones."""
+    found = stored(_found_terms(docs, c, id_col, text_col), "licence-terms")
+    other = legal_lines(found, c).select(*KEY, F.lit(None).cast("string").alias("licence"), F.lit(None).cast("double").alias("probability"))
+    best = F.array_compact(F.array(F.max_by("licence", "probability")))
+    return confirmed_lines(found, c).unionByName(other).groupBy(*KEY).agg(best.alias("licences"), F.max("probability").alias("probability"))
 
 
 def licences(docs: DataFrame, c: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: paragraphs, confirmed licence paragraphs, other legal ones, the families (sorted, comma-joined) and the best probability."""
+    """Per row: lines, those of confirmed licences, other legal ones, the families (sorted, comma-joined) and the best probability."""
     found = licensed_paragraphs(docs, c, id_col, text_col).groupBy("doc_key", "text_key").agg(
-        F.count_if(F.col("licence") != OTHER).alias("n_licensed"),
-        F.count_if(F.col("licence") == OTHER).alias("n_unknown"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("licence") != OTHER, F.col("licence")))), ",").alias("licences"),
-        F.round(F.max(F.when(F.col("licence") != OTHER, F.col("probability"))), 6).alias("probability"),
+        F.count_if(F.size("licences") > 0).alias("n_licensed"),
+        F.count_if(F.size("licences") == 0).alias("n_unknown"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("licences")))), ",").alias("licences"),
+        F.round(F.max("probability"), 6).alias("probability"),
     )
     text = F.coalesce(F.col(text_col), F.lit(""))
     n = F.size(F.filter(F.split(text, "\n"), lambda p: F.trim(p) != ""))

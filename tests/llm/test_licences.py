@@ -51,6 +51,49 @@ def test_no_python_on_the_main_path(spark, classifier, plan):
     assert "CartesianProduct" not in text
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer."""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version."""
+LGPL = """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.
+ *
+ * You should have received a copy of the GNU Lesser General Public
+ * License along with this library; if not, write to the Free Software"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */"""
+
+
+def test_wrapped_notices(spark, classifier):
+    texts = {"mit": MIT, "bsd": BSD, "gpl": GPL, "lgpl": LGPL, "mpl": MPL}
+    docs = [(800 + i, t) for i, t in enumerate(texts.values())] + [(810 + i, f"{prose(i, 40)}\n{t}\r\n{prose(i + 9, 40)}") for i, t in enumerate(texts.values())]
+    got = {r.doc_id: r for r in L.licences(awkward(spark, docs), classifier).collect()}
+    assert {i: r.licences for i, r in got.items()} == {j + i: f for i, f in enumerate(texts) for j in (800, 810)}
+    assert got[801].n_licensed == 2 and got[801].n_paragraphs == 4 and got[802].n_licensed == 4
+
+
+def test_a_blank_line_ends_a_passage(spark, classifier):
+    docs = [(820, "This Source Code Form is subject\nto the terms of the Mozilla Public License, v. 2.0."), (821, "This Source Code Form is subject\n\nto the terms of the Mozilla Public License, v. 2.0.")]
+    lines = {r.doc_key: r for r in L._found_terms(awkward(spark, docs), classifier, "doc_id", "text").groupBy("doc_key").agg({"at": "max"}).collect()}
+    assert lines["821"][1] - lines["820"][1] == L.GAP
+    crossing = L._found_terms(awkward(spark, docs), classifier, "doc_id", "text").where("i + n > own").select("doc_key").distinct().collect()
+    assert [r.doc_key for r in crossing] == ["820"]
+
+
 def test_gate_holds_every_term():
     vocab = L.default_vocabulary()
     gate = set(vocab.gate)
