@@ -7,8 +7,8 @@ training rows.
 
 A paragraph is a line, but notices are wrapped: n-grams have word positions that go on over line ends, up to a line without
 words. Where most of a sentence of a family lies close together, that passage is scored by itself, and every family whose
-passage reaches the threshold can count, the most probable one for each line that it takes words of. A line of other legal
-text, or of a family that is not confirmed, is ``unknown``.
+passage reaches the threshold counts, for each line that it takes words of. A line of other legal text, or of a family that is
+not confirmed, is ``unknown``; long lines are scored in overlapping windows.
 
 Training rows are the fixed sentences, alone and among ordinary words, and BACKGROUND_ROWS paragraphs of the documents,
 the first by a hash. The weights are a table of at most the n-grams of the fixed sentences, which bounds its broadcast.
@@ -43,6 +43,8 @@ MIN_COVERAGE = 0.75
 MIN_PRECISION = 0.99
 # Words of a sentence may be spread over so many times its length.
 SPREAD = 2
+# Words from one window of a line to the next; a window has twice as many.
+STRIDE = 32
 # What a line without words adds to the positions: more than a passage can span.
 GAP = 1000
 # Lines whose words are counted together, for the position of a line.
@@ -352,17 +354,18 @@ def confirmed_lines(found: DataFrame, c: Classifier) -> DataFrame:
 
 
 def legal_lines(found: DataFrame, c: Classifier) -> DataFrame:
-    """(doc_key, text_key, pos) of the lines that are not ``none`` by themselves."""
-    own = found.where(F.col("i") + F.col("n") <= F.col("own")).select(*KEY, "j").distinct()
-    return _scored(own, KEY, c).where(F.col("k") > 1).select(*KEY)
+    """(doc_key, text_key, pos) of the lines that are not ``none`` by themselves, in any window."""
+    own = found.where(F.col("i") + F.col("n") <= F.col("own"))
+    w = F.floor(F.col("i") / STRIDE)
+    windows = own.select(*KEY, "j", F.explode(F.sequence(F.greatest(w - 1, F.lit(0)), w)).alias("window")).distinct()
+    return _scored(windows, [*KEY, "window"], c).where(F.col("k") > 1).select(*KEY)
 
 
 def licensed_paragraphs(docs: DataFrame, c: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_key, text_key, pos, licences, probability) of the lines that are not ``none``; ``licences`` is empty for unknown ones."""
     found = stored(_found_terms(docs, c, id_col, text_col), "licence-terms")
     other = legal_lines(found, c).select(*KEY, F.lit(None).cast("string").alias("licence"), F.lit(None).cast("double").alias("probability"))
-    best = F.array_compact(F.array(F.max_by("licence", "probability")))
-    return confirmed_lines(found, c).unionByName(other).groupBy(*KEY).agg(best.alias("licences"), F.max("probability").alias("probability"))
+    return confirmed_lines(found, c).unionByName(other).groupBy(*KEY).agg(F.collect_set("licence").alias("licences"), F.max("probability").alias("probability"))
 
 
 def licences(docs: DataFrame, c: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -94,6 +94,20 @@ def test_a_blank_line_ends_a_passage(spark, classifier):
     assert [r.doc_key for r in crossing] == ["820"]
 
 
+def test_several_notices_in_one_line(spark, classifier):
+    mit, apache, gpl = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3."
+    docs = [
+        (830, f"{mit} {apache}"),
+        (831, f"Licensed under the MIT License. {apache}"),
+        (832, f"{prose(1, 3000)} {mit} {prose(2, 3000)} {gpl} {prose(3, 3000)} {apache}"),
+        (833, f"{prose(4, 3000)} All rights reserved. {prose(5, 3000)}"),
+        (834, " ".join([mit, prose(6, 9)] * 300)),
+    ]
+    got = {r.doc_id: r for r in L.licences(awkward(spark, docs), classifier).collect()}
+    assert {i: r.licences for i, r in got.items()} == {830: "apache,mit", 831: "apache,mit", 832: "apache,gpl,mit", 833: "", 834: "mit"}
+    assert [got[i].n_unknown for i in range(830, 835)] == [0, 0, 0, 1, 0]
+
+
 def test_gate_holds_every_term():
     vocab = L.default_vocabulary()
     gate = set(vocab.gate)
