@@ -1,10 +1,12 @@
 """Personal data: base patterns, and bootstrapped contextual extraction on top of them.
 
-Base spans come from four patterns with checks. They are the seeds: the words left of a seed, when they
-end in a cue such as ``mail:`` or ``tel =``, induce a lexical pattern. Spark scores the graph of patterns
-and the strings they introduce: a pattern is as good as its strings, a string as good as its patterns, for
-a fixed number of rounds. Identifier-shaped strings behind high-confidence patterns become added spans.
-Every string behind a cue counts, so a cue that also introduces ordinary words loses confidence.
+Base spans come from four patterns with checks. They are the seeds. What stands beside a seed induces lexical patterns: the
+one to three words left of it, the one to three words right of it, and a cue such as ``mail:`` or ``tel =``, also without a
+space. Spark scores the graph of patterns and the strings they introduce: a pattern is as good as its strings, a string as good
+as the patterns around it, for a fixed number of rounds. Identifier-shaped strings at high-confidence patterns become added
+spans. Every string behind a cue counts, and every place of the words of a pattern in the corpus, so patterns that stand beside
+ordinary words lose confidence. The texts are read twice for this: for strings and their surroundings, then for the places of
+the words that enough seeds share, PATTERN_BLOCK patterns at a time.
 
 Defined cases: null text is empty and has no spans. Repeated rows give repeated rows. An empty table gives
 an empty result. Positions are code points, ends exclusive. Other columns are not looked at.
@@ -13,6 +15,9 @@ an empty result. Positions are code points, ends exclusive. Other columns are no
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,6 +32,12 @@ ROUNDS = 3
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.8
 
+# A pattern has at most so many words on its side; they are looked for so many characters around a string.
+MAX_WORDS = 3
+WORDS_CHARS = 200
+# So many patterns are counted in one pass over the texts.
+PATTERN_BLOCK = 100_000
+
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A run of digits that does not end in a point fails for each of its starts, so only its first is tried.
@@ -46,6 +57,12 @@ _SHAPE = {
 }
 _EDGES = "\"'<>[](){},;.!?"
 
+# Identifier-shaped strings anywhere: around a sign of an address, in parts, or a spaced number.
+_AT = re.compile(r"@|\(at\)|\[at\]")
+_TOKEN = re.compile(r"\S+")
+_PARTS = re.compile(r"(?<![0-9A-Za-z.:])[0-9A-Fa-f]++(?:[.:][0-9A-Fa-f]*+){3,}+")
+_NUMBER = re.compile(r"(?<![0-9A-Za-z().+-])\+?[0-9(][0-9 ().-]{5,40}(?<=[0-9])(?![0-9])")
+
 
 def _luhn(digits: str) -> bool:
     total = 0
@@ -115,9 +132,86 @@ def _contexts(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[dict]:
     return out
 
 
+def _token_at(text: str, at: int) -> tuple[int, int]:
+    start = at
+    while start > 0 and not text[start - 1].isspace():
+        start -= 1
+    return start, _TOKEN.match(text, at).end()
+
+
+def _identifiers(text: str) -> Iterator[tuple[int, int]]:
+    """Places of identifier-shaped strings that are whole tokens but for the signs around them."""
+    places, end = [], 0
+    for m in _AT.finditer(text):
+        if m.start() >= end:
+            start, end = _token_at(text, m.start())
+            places.append((start, end))
+    if _DIGIT.search(text):
+        places += [m.span() for m in _PARTS.finditer(text)]
+        places += [m.span() for m in _NUMBER.finditer(text) if 7 <= len(_NOT_DIGIT.sub("", m.group())) <= 19]
+    last = 0
+    for start, end in sorted(places, key=lambda x: (x[0], -x[1])):
+        raw = text[start:end]
+        start += len(raw) - len(raw.lstrip(_EDGES.replace("(", "") if re.match(r"\([0-9]", raw) else _EDGES))
+        end -= len(raw) - len(raw.rstrip(_EDGES))
+        if last <= start < end:
+            last = end
+            yield start, end
+
+
+def words_of(text: str) -> list[str]:
+    return [w for t in text.lower().split() if (w := t.strip(_EDGES))]
+
+
+def _beside(text: str, start: int, end: int) -> list[str]:
+    """The patterns of words left and right of a string. What is attached to the string, but for signs, leaves its side out."""
+    out = []
+    left = text[max(0, start - WORDS_CHARS) : start]
+    attached = left[len(left.rstrip(_EDGES)) - 1 : len(left.rstrip(_EDGES))]
+    if not attached or attached.isspace():
+        if start > WORDS_CHARS and not text[start - WORDS_CHARS - 1].isspace():
+            left = left[len(left) - len(left.lstrip()) :] if left[:1].isspace() else left.partition(" ")[2]
+        words = words_of(left)[-MAX_WORDS:]
+        out += ["< " + " ".join(words[-n:]) for n in range(1, len(words) + 1)]
+    right = text[end : end + WORDS_CHARS]
+    attached = right.lstrip(_EDGES)[:1]
+    if not attached or attached.isspace():
+        if end + WORDS_CHARS < len(text) and not text[end + WORDS_CHARS].isspace():
+            right = right.rpartition(" ")[0]
+        words = words_of(right)[:MAX_WORDS]
+        out += ["> " + " ".join(words[:n]) for n in range(1, len(words) + 1)]
+    return out
+
+
+def _with_words(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[dict]:
+    """Strings with their patterns: what stands behind a cue, every base span, and what is identifier-shaped anywhere."""
+    found: dict[tuple, dict] = {}
+    for c in _contexts(text, spans):
+        cue = c.pop("cue")
+        found.setdefault((c["start"], c["end"], c["kind"]), {**c, "patterns": []})["patterns"].append(cue)
+    taken = [(s, e) for group in spans.values() for s, e in group] + [(c["start"], c["end"]) for c in found.values() if c["kind"] is None and c["shapes"]]
+    taken.sort()
+    starts, ends = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
+    for kind in KINDS:
+        for start, end in spans[kind]:
+            found.setdefault((start, end, kind), {"value": text[start:end], "start": start, "end": end, "kind": kind, "shapes": [], "patterns": []})
+    for start, end in _identifiers(text):
+        k = bisect_left(starts, end)
+        if k and ends[k - 1] > start:
+            continue
+        shapes = [x for x in KINDS if _SHAPE[x].fullmatch(text, start, end)]
+        if shapes:
+            key = (start, end, None)
+            found.setdefault(key, {"value": text[start:end], "start": start, "end": end, "kind": None, "shapes": [], "patterns": []})["shapes"] = shapes
+    for c in found.values():
+        if c["kind"] is not None or c["shapes"]:
+            c["patterns"] += _beside(text, c["start"], c["end"])
+    return list(found.values())
+
+
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 _CONTEXT = pa.struct([
-    ("cue", pa.string()), ("value", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
+    ("patterns", pa.list_(pa.string())), ("value", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
     ("kind", pa.string()), ("shapes", pa.list_(pa.string())),
 ])
 
@@ -130,7 +224,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         for text in batch.column(2).to_pylist():
             spans = base_spans(text)
             base.append([{"kind": k, "start": s, "end": e} for k in KINDS for s, e in spans[k]])
-            contexts.append(_contexts(text, spans))
+            contexts.append(_with_words(text, spans))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(base, pa.list_(_SPAN)), pa.array(contexts, pa.list_(_CONTEXT))],
             ["doc_id", "text_key", "base", "contexts"],
@@ -142,51 +236,114 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         docs.select(F.col(id_col).alias("doc_id"), F.md5(text.cast("binary")).alias("text_key"), text.alias("text")),
         run,
         f"doc_id {kind}, text_key string, base array<struct<kind:string,start:bigint,end:bigint>>, "
-        "contexts array<struct<cue:string,value:string,start:bigint,end:bigint,kind:string,shapes:array<string>>>",
+        "contexts array<struct<patterns:array<string>,value:string,start:bigint,end:bigint,kind:string,shapes:array<string>>>",
     )
 
 
-def induced(found: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(cue, kind, confidence) of the patterns that pass, from the graph of cues and strings.
+def places(docs: DataFrame, patterns: DataFrame, text_col: str = "text") -> DataFrame:
+    """(pattern, n_places) of patterns of words: where their words stand with a word on the other side.
+
+    Each pass over the texts counts the patterns of one block, so that a worker holds no more than those.
+    """
+    spark = docs.sparkSession
+    names = stored(patterns.where(F.substring("pattern", 1, 2).isin("< ", "> ")).select("pattern").distinct(), "pii-patterns")
+    blocks = -(-names.count() // PATTERN_BLOCK)
+    counted = names.select("pattern", F.lit(0).cast("bigint").alias("n")).limit(0)
+    for block in range(blocks):
+        chosen = names.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == block).collect()
+        shared = spark.sparkContext.broadcast([row[0] for row in chosen])
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            left = {p[2:]: 0 for p in shared.value if p[0] == "<"}
+            right = {p[2:]: 0 for p in shared.value if p[0] == ">"}
+            first = {p.split(" ", 1)[0] for p in [*left, *right]}
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    words = words_of(text)
+                    for i, word in enumerate(words):
+                        if word not in first:
+                            continue
+                        gram = word
+                        for end in range(i + 1, min(i + MAX_WORDS, len(words)) + 1):
+                            if gram in left and end < len(words):
+                                left[gram] += 1
+                            if gram in right and i > 0:
+                                right[gram] += 1
+                            if end < len(words):
+                                gram = f"{gram} {words[end]}"
+            rows = [("< " + g, n) for g, n in left.items() if n] + [("> " + g, n) for g, n in right.items() if n]
+            yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], ["pattern", "n"])
+
+        texts = docs.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"))
+        counted = counted.unionByName(stored(texts.mapInArrow(run, "pattern string, n bigint"), "pii-places"))
+    return counted.groupBy("pattern").agg(F.sum("n").alias("n_places"))
+
+
+def induced(
+    found: DataFrame, docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE
+) -> DataFrame:
+    """(pattern, kind, confidence) of the patterns that pass, from the graph of patterns and strings.
 
-    The graph has one edge for each distinct pair. Only cues that introduce at least ``min_seeds`` distinct seeds
-    of a kind take part, so that the rounds run on a small part of it.
+    The graph has one edge for each distinct pair. Only patterns with at least ``min_seeds`` distinct seeds of a kind take
+    part, so that the rounds run on a small part of it. The confidence is good / (seeds + against + 1): good are the
+    distinct seeds, and the scores of unseen strings; against is, for a cue, each other distinct string, and for words each
+    place without a seed of the kind. A string's score comes from the patterns that do not share the nearest word, since
+    patterns that do are no evidence for each other.
     """
-    edges = (
+    edges = stored(
         found.select(F.explode("contexts").alias("c"))
-        .select("c.cue", "c.value", F.col("c.kind").alias("seed"))
-        .groupBy("cue", "value")
-        .agg(F.min("seed").alias("seed"))
+        .select(F.explode("c.patterns").alias("pattern"), "c.value", F.col("c.kind").alias("seed"), "c.shapes")
+        .groupBy("pattern", "value")
+        .agg(F.min("seed").alias("seed"), F.max("shapes").alias("shapes"), F.count(F.lit(1)).alias("n")),
+        "pii-edges",
     )
-    support = (
+    support = stored(
         edges.where(F.col("seed").isNotNull())
-        .groupBy("cue", F.col("seed").alias("kind"))
-        .agg(F.count(F.lit(1)).alias("n_seeds"))
-        .where(F.col("n_seeds") >= min_seeds)
+        .groupBy("pattern", F.col("seed").alias("kind"))
+        .agg(F.count(F.lit(1)).cast("double").alias("n_seeds"))
+        .where(F.col("n_seeds") >= min_seeds),
+        "pii-support",
+    )
+    known = F.coalesce(F.col("seed") == F.col("kind"), F.lit(False))
+    against = F.sum(F.when(known, 0).otherwise(1))
+    strings = edges.join(support, "pattern")
+    beside = strings.groupBy("pattern", "kind", "n_seeds").agg(against.alias("others"), F.sum(F.when(known, F.col("n")).otherwise(0)).alias("n_known"))
+    at_places = F.when(F.col("n_places").isNotNull(), F.greatest(F.col("n_places") - F.col("n_known"), F.lit(0)))
+    nodes = stored(
+        beside.join(places(docs, support, text_col), "pattern", "left").select(
+            "pattern", "kind", "n_seeds", F.coalesce(at_places, "others").cast("double").alias("against")
+        ),
+        "pii-nodes",
+    )
+    # the side and the nearest word; a cue is the word left of its string
+    words = F.split("pattern", " ")
+    nearest = F.when(F.col("pattern").startswith("< "), F.concat(F.lit("< "), F.element_at(words, -1))).when(
+        F.col("pattern").startswith("> "), F.concat(F.lit("> "), F.element_at(words, 2))
     )
-    graph = stored(
-        edges.join(support, "cue").select("cue", "value", "kind", "seed", (F.col("seed") == F.col("kind")).alias("is_seed")),
+    unseen = stored(
+        strings.where(F.col("seed").isNull() & F.array_contains("shapes", F.col("kind"))).select(
+            "pattern", "value", "kind", F.coalesce(nearest, F.concat(F.lit("< "), "pattern")).alias("nearest")
+        ),
         "pii-graph",
     )
-    scores = graph.withColumn("score", F.when(F.col("is_seed"), 1.0).otherwise(0.0))
+    confidence = F.col("good") / (F.col("n_seeds") + F.col("against") + 1)
+    patterns = nodes.withColumn("good", F.col("n_seeds")).select("pattern", "kind", confidence.alias("confidence"))
     for _ in range(rounds):
-        patterns = scores.groupBy("cue", "kind").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("confidence"))
-        values = (
-            graph.join(patterns, ["cue", "kind"])
-            .groupBy("value", "kind")
-            .agg((1 - F.product(1 - F.col("confidence") * F.col("confidence"))).alias("score"))
+        sides = (
+            unseen.join(patterns, ["pattern", "kind"])
+            .groupBy("value", "kind", "nearest")
+            .agg(F.log(1 - F.max(F.col("confidence") * F.col("confidence"))).alias("doubt"))
         )
-        scores = stored(
-            graph.join(values, ["value", "kind"]).withColumn(
-                "score", F.when(F.col("is_seed"), 1.0).when(F.col("seed").isNotNull(), 0.0).otherwise(F.col("score"))
-            ),
-            "pii-scores",
+        every = sides.groupBy("value", "kind").agg(F.sum("doubt").alias("doubts"))
+        scores = sides.join(every, ["value", "kind"]).select("value", "kind", "nearest", (1 - F.exp(F.col("doubts") - F.col("doubt"))).alias("score"))
+        more = unseen.join(scores, ["value", "kind", "nearest"]).groupBy("pattern", "kind").agg(F.sum("score").alias("more"))
+        patterns = stored(
+            nodes.join(more, ["pattern", "kind"], "left")
+            .withColumn("good", F.col("n_seeds") + F.coalesce("more", F.lit(0.0)))
+            .select("pattern", "kind", confidence.alias("confidence")),
+            "pii-confidence",
         )
-    return (
-        scores.groupBy("cue", "kind")
-        .agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("confidence"))
-        .where(F.col("confidence") >= min_confidence)
-    )
+    return patterns.where(F.col("confidence") >= min_confidence)
 
 
 def personal_data(
@@ -199,18 +356,19 @@ def personal_data(
 ) -> DataFrame:
     """(doc_id, text_key, base, spans): base spans and all spans of every row, by kind, then start.
 
-    The texts are read once; what they hold is stored, and only cues and added spans are shuffled.
+    What the texts hold is stored, and only patterns, strings and added spans are shuffled.
     """
     found = stored(scan(docs, id_col, text_col), "pii-found")
-    patterns = induced(found, rounds, min_seeds, min_confidence)
+    patterns = induced(found, docs, text_col, rounds, min_seeds, min_confidence)
     # spans depend on the text alone; the id spreads the copies of a text
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     more = (
         found.where(F.exists("contexts", lambda c: F.size(c["shapes"]) > 0))
         .select(key.alias("doc_key"), "text_key", F.explode("contexts").alias("c"))
-        .select("doc_key", "text_key", "c.cue", F.explode("c.shapes").alias("kind"), "c.start", "c.end")
+        .select("doc_key", "text_key", "c.patterns", F.explode("c.shapes").alias("kind"), "c.start", "c.end")
+        .select("doc_key", "text_key", F.explode("patterns").alias("pattern"), "kind", "start", "end")
         .distinct()
-        .join(patterns, ["cue", "kind"])
+        .join(patterns, ["pattern", "kind"])
         # a string that fits several kinds is given to the most confident one, then to the first listed
         .withColumn("rank", F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")))
         .groupBy("doc_key", "text_key", "start", "end")

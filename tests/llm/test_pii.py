@@ -83,6 +83,35 @@ def test_cues_discover_unseen_numbers(spark):
     assert got[400].spans == [] and all(len(got[i].spans) == 1 for i in range(12))
 
 
+def test_words_discover_unseen_strings(spark):
+    number = lambda i: f"+1 (555) 200-{1000 + i}"
+    docs = [(i, f"{prose(i, 5)} please call {number(i)} {prose(i + 1, 5)}") for i in range(12)]
+    docs += [(20 + i, f"{prose(i, 5)} phone number\nis {number(50 + i)}, {prose(i + 1, 5)}") for i in range(12)]
+    docs += [(40 + i, f"{prose(i, 5)} jo{i}@example.com is my address {prose(i + 1, 5)}") for i in range(12)]
+    # beside seeds too, but mostly beside ordinary words
+    docs += [(60 + i, f"{prose(i, 5)} the {number(100 + i)}") for i in range(12)] + [(80 + i, f"{prose(i, 5)} the word{i}") for i in range(30)]
+    unseen = {100: ("Please call 555-0123 456, then", "555-0123 456", "phone"), 101: ("my phone number is 555 0199.", "555 0199", "phone"), 102: ("jo(at)example is my address now", "jo(at)example", "email")}
+    docs += [(i, text) for i, (text, _, _) in unseen.items()] + [(110, "see the 555-0000 there")]
+    got = {r.doc_id: r for r in P.personal_data(awkward(spark, docs)).collect()}
+    for i, (text, value, kind) in unseen.items():
+        start = text.index(value)
+        assert [tuple(s) for s in got[i].spans] == [(kind, start, start + len(value))] and got[i].base == [], text
+    assert got[110].spans == [] and all(got[i].spans == got[i].base for i in [*range(12), *range(20, 32), *range(40, 52), *range(60, 72), *range(80, 110)] if i in got and i not in unseen)
+
+
+def test_places_are_counted_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(P, "PATTERN_BLOCK", 2)
+    docs = awkward(spark, [(1, "a b, a b c"), (1, "a b, a b c"), (2, "A. b"), (3, None), (4, "a")])
+    names = ["< a", "> a", "< a b", "> b", "> a b c", "tel:"]
+    got = P.places(docs, spark.createDataFrame([(n,) for n in names], "pattern string")).collect()
+    assert {r.pattern: r.n_places for r in got} == {"< a": 5, "> a": 2, "< a b": 4, "> b": 5, "> a b c": 2}
+
+
+def test_surroundings_stay_linear():
+    for text in ("a" * 200_000, "1" * 200_000, "@" * 50_000, "(" * 100_000, "( " * 50_000, "a:" * 50_000, "1.1" * 50_000, "1 " * 50_000, "(at)" * 30_000):
+        P._with_words(text, P.base_spans(text))
+
+
 def test_too_few_seeds_teach_nothing(spark):
     docs = [d for d in cues(2, ["555-0123 456"], 0)]
     assert all(r.spans == r.base for r in P.personal_data(awkward(spark, docs)).collect())
