@@ -4,8 +4,9 @@ Base spans come from four patterns with checks. They are the seeds. What stands
 one to three words left of it, the one to three words right of it, and a cue such as ``mail:`` or ``tel =``, also without a
 space. Spark scores the graph of patterns and the strings they introduce: a pattern is as good as its strings, a string as good
 as the patterns around it, for a fixed number of rounds. Identifier-shaped strings at high-confidence patterns become added
-spans. Every string behind a cue counts, and every place of the words of a pattern in the corpus, so patterns that stand beside
-ordinary words lose confidence. The texts are read twice for this: for strings and their surroundings, then for the places of
+spans. Every ordinary string behind a cue counts, and every place of the words of a pattern in the corpus without an identifier, so
+patterns that stand beside ordinary words lose confidence. Seeds of other kinds and unseen identifier-shaped strings do not count
+against a pattern, unless they have the form of the kind and fail its check. The texts are read twice for this: for strings and their surroundings, then for the places of
 the words that enough seeds share, PATTERN_BLOCK patterns at a time.
 
 Defined cases: null text is empty and has no spans. Repeated rows give repeated rows. An empty table gives
@@ -29,6 +30,7 @@ KINDS = ("email", "ip", "card", "phone")
 
 # Confidence rules of the graph.
 ROUNDS = 3
+# With MIN_CONFIDENCE, seeds alone suffice from 4 distinct ones on, and 3 do with unseen strings that other patterns support.
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.8
 
@@ -159,6 +161,16 @@ def _identifiers(text: str) -> Iterator[tuple[int, int]]:
             yield start, end
 
 
+def _fails(value: str) -> list[str]:
+    """The kinds whose form the string has, but whose check it fails."""
+    out, digits = [], _NOT_DIGIT.sub("", value)
+    if _IP.fullmatch(value):
+        out.append("ip")
+    if 13 <= len(digits) <= 19 and _CARD.fullmatch(value) and not _luhn(digits):
+        out.append("card")
+    return out
+
+
 def words_of(text: str) -> list[str]:
     return [w for t in text.lower().split() if (w := t.strip(_EDGES))]
 
@@ -204,6 +216,7 @@ def _with_words(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[dict
             key = (start, end, None)
             found.setdefault(key, {"value": text[start:end], "start": start, "end": end, "kind": None, "shapes": [], "patterns": []})["shapes"] = shapes
     for c in found.values():
+        c["fails"] = _fails(c["value"]) if c["shapes"] else []
         if c["kind"] is not None or c["shapes"]:
             c["patterns"] += _beside(text, c["start"], c["end"])
     return list(found.values())
@@ -212,7 +225,7 @@ def _with_words(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[dict
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 _CONTEXT = pa.struct([
     ("patterns", pa.list_(pa.string())), ("value", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
-    ("kind", pa.string()), ("shapes", pa.list_(pa.string())),
+    ("kind", pa.string()), ("shapes", pa.list_(pa.string())), ("fails", pa.list_(pa.string())),
 ])
 
 
@@ -236,7 +249,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         docs.select(F.col(id_col).alias("doc_id"), F.md5(text.cast("binary")).alias("text_key"), text.alias("text")),
         run,
         f"doc_id {kind}, text_key string, base array<struct<kind:string,start:bigint,end:bigint>>, "
-        "contexts array<struct<patterns:array<string>,value:string,start:bigint,end:bigint,kind:string,shapes:array<string>>>",
+        "contexts array<struct<patterns:array<string>,value:string,start:bigint,end:bigint,kind:string,shapes:array<string>,fails:array<string>>>",
     )
 
 
@@ -285,16 +298,16 @@ def induced(
     """(pattern, kind, confidence) of the patterns that pass, from the graph of patterns and strings.
 
     The graph has one edge for each distinct pair. Only patterns with at least ``min_seeds`` distinct seeds of a kind take
-    part, so that the rounds run on a small part of it. The confidence is good / (seeds + against + 1): good are the
-    distinct seeds, and the scores of unseen strings; against is, for a cue, each other distinct string, and for words each
-    place without a seed of the kind. A string's score comes from the patterns that do not share the nearest word, since
-    patterns that do are no evidence for each other.
+    part, so that the rounds run on a small part of it. The confidence is good / (good + against + 1): good are the
+    distinct seeds, and the scores of unseen strings; against is, for a cue, each distinct ordinary string, and for words each
+    place without an identifier. Ordinary is what is no seed and looks like no kind, or fails the check of the kind. A string's
+    score comes from the patterns that do not share the nearest word, since patterns that do are no evidence for each other.
     """
     edges = stored(
         found.select(F.explode("contexts").alias("c"))
-        .select(F.explode("c.patterns").alias("pattern"), "c.value", F.col("c.kind").alias("seed"), "c.shapes")
+        .select(F.explode("c.patterns").alias("pattern"), "c.value", F.col("c.kind").alias("seed"), "c.shapes", "c.fails")
         .groupBy("pattern", "value")
-        .agg(F.min("seed").alias("seed"), F.max("shapes").alias("shapes"), F.count(F.lit(1)).alias("n")),
+        .agg(F.min("seed").alias("seed"), F.max("shapes").alias("shapes"), F.max("fails").alias("fails"), F.count(F.lit(1)).alias("n")),
         "pii-edges",
     )
     support = stored(
@@ -304,7 +317,7 @@ def induced(
         .where(F.col("n_seeds") >= min_seeds),
         "pii-support",
     )
-    known = F.coalesce(F.col("seed") == F.col("kind"), F.lit(False))
+    known = F.col("seed").isNotNull() | ((F.size("shapes") > 0) & ~F.array_contains("fails", F.col("kind")))
     against = F.sum(F.when(known, 0).otherwise(1))
     strings = edges.join(support, "pattern")
     beside = strings.groupBy("pattern", "kind", "n_seeds").agg(against.alias("others"), F.sum(F.when(known, F.col("n")).otherwise(0)).alias("n_known"))
@@ -321,12 +334,12 @@ def induced(
         F.col("pattern").startswith("> "), F.concat(F.lit("> "), F.element_at(words, 2))
     )
     unseen = stored(
-        strings.where(F.col("seed").isNull() & F.array_contains("shapes", F.col("kind"))).select(
+        strings.where(F.col("seed").isNull() & F.array_contains("shapes", F.col("kind")) & ~F.array_contains("fails", F.col("kind"))).select(
             "pattern", "value", "kind", F.coalesce(nearest, F.concat(F.lit("< "), "pattern")).alias("nearest")
         ),
         "pii-graph",
     )
-    confidence = F.col("good") / (F.col("n_seeds") + F.col("against") + 1)
+    confidence = F.col("good") / (F.col("good") + F.col("against") + 1)
     patterns = nodes.withColumn("good", F.col("n_seeds")).select("pattern", "kind", confidence.alias("confidence"))
     for _ in range(rounds):
         sides = (

@@ -99,6 +99,29 @@ def test_words_discover_unseen_strings(spark):
     assert got[110].spans == [] and all(got[i].spans == got[i].base for i in [*range(12), *range(20, 32), *range(40, 52), *range(60, 72), *range(80, 110)] if i in got and i not in unseen)
 
 
+def test_evidence_against_a_pattern(spark):
+    docs, at = [], {}
+
+    def add(cue: str, values: list[str]):
+        for v in values:
+            at[v] = len(docs)
+            docs.append((len(docs), f"{prose(len(docs), 5)} {cue} {v}"))
+
+    number = lambda area, n: [f"+1 (555) {area}-{1000 + i}" for i in range(n)]
+    mixed, many = ["555 0101", "jo(at)example"], [f"555 {2000 + i}" for i in range(30)]
+    add("contact:", [*number(201, 12), *[f"jo{i}@example.com" for i in range(12)], *mixed])
+    add("fon:", [*number(202, 12), *many])
+    add("four:", [*number(203, 4), "555 0303"])
+    add("three:", [*number(204, 3), "555 0404"])
+    sixteen = [f"41111111111{i:05d}" for i in range(60)]
+    valid = [v for v in sixteen if luhn(v) % 10 == 0]
+    add("order:", [*valid, *(bad := [v for v in sixteen if v not in valid])])
+    got = {r.doc_id: [s.kind for s in r.spans] for r in P.personal_data(awkward(spark, docs)).collect()}
+    assert [got[at[v]] for v in mixed] == [["phone"], ["email"]]
+    assert all(got[at[v]] == ["phone"] for v in many) and got[at["555 0303"]] == ["phone"] and got[at["555 0404"]] == []
+    assert len(valid) >= 4 and all("card" not in got[at[v]] for v in bad)
+
+
 def test_places_are_counted_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(P, "PATTERN_BLOCK", 2)
     docs = awkward(spark, [(1, "a b, a b c"), (1, "a b, a b c"), (2, "A. b"), (3, None), (4, "a")])
