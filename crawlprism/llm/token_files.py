@@ -12,6 +12,7 @@ side; an empty table gives no file and an empty result. Other columns are not lo
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -52,6 +53,13 @@ class _Words(dict):
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.model = self.library.model
+        added = self.library.get_added_tokens_decoder()
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        # leftmost, then longest, as the library finds them
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
+        # tokens that take more than their own text with them are left to the library
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
+        self.whole = None if self.plain else Tokenizer.from_file(path)
         # the byte-level alphabet, from the library's own view of each byte that UTF-8 text can hold
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: spell.pre_tokenize_str(chr(c))[0][0] for c in range(128)}
@@ -72,9 +80,19 @@ def _words(path: str) -> _Words:
     return _Words(path)
 
 
-def encode_text(text: str, path: str, pattern: str = public_tokenizers.PATTERN) -> bytes:
-    """Ids of a text as bytes; each pre-token is encoded by itself, as the library does."""
-    return b"".join(map(_words(path).__getitem__, splitter(pattern)(text)))
+def encode_text(text: str, path: str, pattern: str = public_tokenizers.PATTERN, special: bool = False) -> bytes:
+    """Ids of a text as bytes; each pre-token is encoded by itself, as the library does.
+
+    With ``special``, the added tokens of the file have their own ids where they stand in a text, as in the library's plain
+    ``encode``; otherwise they are ordinary text.
+    """
+    words = _words(path)
+    if special and words.split and words.split.search(text):
+        if not words.plain:
+            return np.array(words.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        parts = words.split.split(text)
+        return b"".join(words.added[part] if i % 2 else encode_text(part, path, pattern) for i, part in enumerate(parts))
+    return b"".join(map(words.__getitem__, splitter(pattern)(text)))
 
 
 class _Writer:
@@ -116,7 +134,8 @@ class _Writer:
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = END_ID
+    docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end_id: int = END_ID,
+    special: bool = False,
 ) -> DataFrame:
     """Encode and write all rows; the manifest (file, path, documents, tokens) is stored beside the files.
 
@@ -137,7 +156,7 @@ def write_token_files(
                     files.create_dir(root, recursive=True)
                     out, id_type = files.open_output_stream(f"{root}/{name}", compression=None), batch.column(0).type
                     writer = _Writer(out)
-                writer.add(doc_id, encode_text(text, path) + end)
+                writer.add(doc_id, encode_text(text, path, special=special) + end)
         if writer is None:
             return
         writer.close(id_type)
@@ -234,7 +253,7 @@ def read_token_files(manifest: DataFrame, kind: str = "bigint", wanted: list | N
     return placed.repartition(spread).mapInArrow(run, f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
-def token_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """Write all rows to token files in the shared folder and read them back."""
-    manifest = write_token_files(docs, scratch_path(docs.sparkSession, "tokens"), id_col, text_col, path)
+def token_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, special: bool = False) -> DataFrame:
+    """Write all rows to token files in the shared folder and read them back. ``special`` is that of encode_text."""
+    manifest = write_token_files(docs, scratch_path(docs.sparkSession, "tokens"), id_col, text_col, path, special=special)
     return read_token_files(manifest, docs.schema[id_col].dataType.simpleString())

@@ -85,6 +85,21 @@ def test_token_files(spark, library):
         at += len(own)
 
 
+SPECIAL = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>x"), (3, "it's<|endoftext|>'s  <|endoftext|>  "), (4, "<|endoftext|"), (5, None), (6, "é  中<|endoftext|>")]
+
+
+def test_special_strings_as_the_unchanged_library(spark, tmp_path):
+    from crawlprism.llm.queries import registry
+
+    awkward(spark, SPECIAL).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in registry["op6_token_files"].build(spark, str(tmp_path)).collect()}
+    unchanged, at = Tokenizer.from_file(P.path("byte_bpe_50k.json")), 0
+    for i, t in SPECIAL:
+        own = unchanged.encode(t or "", add_special_tokens=False).ids + [0]
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (at, len(own), zlib.crc32(np.array(own, "<u4").tobytes())), t
+        at += len(own)
+
+
 def test_null_ids_sort_first(spark):
     got = sorted(T.token_round_trip(awkward(spark)).collect(), key=lambda r: r.start)
     assert len(got) == len(AWKWARD) and got[0].doc_id is None and got[1].doc_id is None
