@@ -254,13 +254,17 @@ def predictions(docs: DataFrame, sample: dict[str, list[str]], id_col: str = "do
 
 
 def keep_identified(docs: DataFrame, sample: dict[str, list[str]], text_col: str = "text") -> DataFrame:
-    """The rows, all columns, whose text is in some language that was learned."""
+    """The rows, all columns, whose text is in some language that was learned; if none was, those whose text has a letter."""
     shared, key = share(docs, sample)
     place = docs.columns.index(text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, _ = _model(shared, key).predict(batch.column(place).to_pylist())
-        return batch.filter(pa.array([lang != "und" for lang in langs], pa.bool_()))
+        texts, model = batch.column(place).to_pylist(), _model(shared, key)
+        if model.languages:
+            found = [lang != "und" for lang in model.predict(texts)[0]]
+        else:
+            found = [bool(t) and len(code_points(t)) > 0 for t in texts]
+        return batch.filter(pa.array(found, pa.bool_()))
 
     return map_batches(docs, run, docs.schema)
 

@@ -64,6 +64,14 @@ def test_stages_on_awkward_rows(spark):
     assert {14, 16, 20, 90} - found <= {16, 14} and 10 not in found and 13 not in found
 
 
+def test_texts_stay_when_no_language_is_known(spark):
+    docs = awkward(spark, [*AWKWARD, (90, "der die das"), (91, "the of and")]).drop("lang").selectExpr("*", "cast(null as string) as lang")
+    got = C.STAGES[0][1](spark, docs, SF)
+    assert sorted(got.columns) == sorted(docs.columns)
+    want = [(i, t) for i, t in [*AWKWARD, (90, "der die das"), (91, "the of and")] if any(c.isalpha() for c in t or "")]
+    same(got.select("doc_id", "text").collect(), want)
+
+
 def test_stages_on_an_empty_table(spark):
     docs = awkward(spark, [])
     for _, stage in C.STAGES:
