@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from crawlprism.llm import bpe, decontaminate, language_id, licences, near_dup, pii, quality, suffix_dedup, token_files, warc
+from crawlprism.llm import bpe, decontaminate, language_id, licences, near_dup, pii, prefix_trie, quality, suffix_dedup, token_files, url_filter, warc
 from crawlprism.llm.common import bound_batches, table
 from crawlprism.registry.base import Query
 
@@ -81,3 +81,14 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return language_id.digest(docs, language_id.predictions(docs, language_id.training_sample(docs)))
+
+
+@_add("op11_url_filter", url_filter.SQL)
+def op11(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.verdicts(pages, url_filter.listed_urls(url_filter.pages_of_sites(pages)))
+
+
+@_add("op13_prefix_trie", prefix_trie.SQL)
+def op13(spark, sf_dir):
+    return prefix_trie.digest(prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations"))))
