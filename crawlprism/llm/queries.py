@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from crawlprism.llm import bpe, decontaminate, language_id, licences, near_dup, pii, prefix_trie, quality, suffix_dedup, token_files, url_filter, warc
+from crawlprism.llm import alignment, bpe, decontaminate, language_id, licences, near_dup, pii, prefix_trie, quality, suffix_dedup, token_files, url_filter, warc
 from crawlprism.llm.common import bound_batches, table
 from crawlprism.registry.base import Query
 
@@ -92,3 +92,8 @@ def op11(spark, sf_dir):
 @_add("op13_prefix_trie", prefix_trie.SQL)
 def op13(spark, sf_dir):
     return prefix_trie.digest(prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations"))))
+
+
+@_add("op12_alignment")
+def op12(spark, sf_dir):
+    return alignment.digest(alignment.aligned(table(spark, sf_dir, "documents")))
