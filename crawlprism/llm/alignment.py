@@ -8,9 +8,10 @@ hold is a row for each range and no range is large. Then the postings return the
 to its range of documents and adds the count to every document it holds. Links are never rows.
 
 A range is at most 65,536 consecutive documents of one task, and ends sooner when the task has gathered ``ENTRIES`` postings. Within a
-range bitmaps of sparse pairs are sorted 16-bit numbers, others are bits. A task encodes each distinct piece of text once: texts
-are cut before a space or line end that follows another character, where neither tokenizer has a token across (the vocabulary is looked
-through for such pieces; if there are any, texts stay whole). Long texts go through in windows.
+range bitmaps of sparse pairs are sorted 16-bit numbers, others are bits. A worker encodes each distinct piece of text once and
+remembers the frequent ones: texts are cut before a space or line end that follows another character, and between a letter and a
+stop, where neither tokenizer has a token across (the vocabulary is looked through for such pieces; if there are any, texts stay
+whole). Long texts go through in windows.
 
 Defined cases: a text that is null or empty, or whose joined tokens differ from it, has no tokens: zeros, empty groups; a null id is kept;
 repeated rows are documents of their own; ties for the best count of an id all count; an empty table gives an empty result; other
@@ -20,6 +21,7 @@ columns are not looked at, whatever their names. Special tokens' strings within
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -33,7 +35,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from crawlprism.llm.common import kept, stored
-from crawlprism.llm.token_files import encode_text
 from crawlprism.session import shuffle_width
 
 VOCABULARY_A = "byte_bpe_50k.json"
@@ -43,11 +44,17 @@ RANGE_DOCUMENTS = 1 << 16
 # Postings that a task gathers before it writes them.
 ENTRIES = 2_000_000
 WINDOW_CHARS = 1_000_000
-# What a worker remembers of distinct pieces of text.
-KNOWN_PIECES = 200_000
-KNOWN_CHARS = 16_000_000
+# Distinct pieces of text, and characters of them, that a worker knows at a time; half of them outlasts a clearing.
+KNOWN_PIECES = 600_000
+KNOWN_CHARS = 32_000_000
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_STOPS = ",.;:!?"
+_STOP = re.compile(rf"[{_STOPS}](?<=[{_LETTERS}].)(?=[ \n]|\Z)")
+_OTHER_SPACE = re.compile(r"[^\S \n]|\x00")
+# Stands for "no space before" at the end of a stop's key, and for "as written" before any other piece's.
+_MARK = "\x00"
 _BITMAP_BYTES = RANGE_DOCUMENTS // 8
 
 
@@ -58,6 +65,18 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class _Codes(dict):
+    """Codes of keys; a new key gets the next one and is noted."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        code = self[key] = len(self)
+        self.new.append(key)
+        return code
+
+
 class _Aligner:
     """Groups and links of pieces of text, each worked out once."""
 
@@ -65,10 +84,11 @@ class _Aligner:
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.path_a = path_a
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         letters = byte_letters()
-        vocabulary = Tokenizer.from_file(path_a).get_vocab(with_added_tokens=False)
-        self.bytes_a = {i: bytes(letters[c] for c in token) for token, i in vocabulary.items()}
+        self.library = Tokenizer.from_file(path_a)
+        self.library.encode_special_tokens = True
+        self.bytes_a = {i: bytes(letters[c] for c in token) for token, i in self.library.get_vocab(with_added_tokens=False).items()}
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size())]
         self.bytes_b = [
@@ -76,23 +96,42 @@ class _Aligner:
             for i, p in enumerate(pieces)
         ]
         self.space = self.model.piece_to_id("▁")
-        self.cuts = not any(re.search("[^▁]▁|\n| ", p) for p in pieces) and pieces[self.space] == "▁"
+        across = re.compile(rf"[^▁]▁|\n| |[{_LETTERS}][{_STOPS}]")
+        self.cuts = self.model.encode("\na")[:2] == [self.space, self.model.piece_to_id("<0x0A>")] and not any(map(across.search, pieces))
         if max(self.bytes_a) >= 1 << 23 or len(pieces) >= 1 << 24:
             raise ValueError("a vocabulary is too large for the pair keys")
-        self.forget()
+        self.names = [str(i) for i in range(max(max(self.bytes_a) + 1, len(pieces)))]
+        self._clear()
 
-    def forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.chars = 0
+    def _clear(self) -> None:
+        self.codes, self.chars, self.hits = _Codes(), 0, np.zeros(0, np.int64)
         self.n_a, self.n_b, self.n_groups, self.good = array("q"), array("q"), array("q"), array("b")
         self.groups: list[str] = []
         self.pairs, self.ends = array("q"), array("q", [0])
 
-    def pieces(self, text: str) -> Iterator[list[str]]:
-        """The text behind a space, in pieces, a window at a time."""
+    def make_room(self) -> None:
+        """Forget the pieces that were met least, when there are too many. Codes given out before do not hold after it."""
+        if len(self.codes) <= KNOWN_PIECES and self.chars <= KNOWN_CHARS:
+            return
+        names, kept_hits = list(self.codes), self.hits
+        often = np.argsort(-kept_hits, kind="stable")[: KNOWN_PIECES // 2].tolist()
+        often = [i for i in often if len(names[i]) <= 64]
+        old = (self.n_a, self.n_b, self.n_groups, self.good, self.groups, self.pairs, self.ends)
+        self._clear()
+        for i in often:
+            self.codes[names[i]] = len(self.codes)
+            self.chars += len(names[i])
+            for new, known in zip((self.n_a, self.n_b, self.n_groups, self.good, self.groups), old):
+                new.append(known[i])
+            self.pairs.extend(old[5][old[6][i] : old[6][i + 1]])
+            self.ends.append(len(self.pairs))
+        self.hits = kept_hits[often] // 2
+
+    def keys(self, text: str) -> Iterator[list[str]]:
+        """The text behind a space as keys of pieces, a window at a time."""
         text = " " + text
         if not self.cuts:
-            yield [text]
+            yield [_MARK + text]
             return
         at = 0
         while at < len(text):
@@ -100,16 +139,46 @@ class _Aligner:
             if end - at > WINDOW_CHARS:
                 cut = _CUT.search(text, at + WINDOW_CHARS)
                 end = cut.start() if cut else end
-            yield _CUT.split(text[at:end])
+            window = text[at:end]
+            yield self._plain_keys(window) or [_MARK + piece for piece in _CUT.split(window)]
             at = end
 
-    def code(self, piece: str) -> int:
-        known = self.codes.get(piece)
-        if known is None:
-            known = self.codes[piece] = len(self.codes)
-            self.chars += len(piece)
-            self._work_out(piece)
-        return known
+    @staticmethod
+    def _plain_keys(window: str) -> list[str] | None:
+        """Keys of a window whose words stand one space or line end apart: the word itself behind a space, or with its line end."""
+        body = window[1:] if window[0] == " " else window
+        if not body or (window[0] == " " and body[0] in " \n") or body[-1] in " \n" or any(x in body for x in ("  ", "\n\n", " \n", "\n ")) or _OTHER_SPACE.search(body):
+            return None
+        lines = _STOP.sub(rf" \g<0>{_MARK}", body).split("\n")
+        out = lines[0].split(" ") if lines[0] else []
+        for line in lines[1:]:
+            words = line.split(" ")
+            words[0] = "\n" + words[0]
+            out += words
+        return out
+
+    @staticmethod
+    def spelled(key: str) -> str:
+        """The piece of text of a key."""
+        if key[0] == _MARK:
+            return key[1:]
+        if key[-1] == _MARK:
+            return key[:-1]
+        return key if key[0] == "\n" else " " + key
+
+    def numbers(self, keys: list[str]) -> list[int]:
+        """A code for each key; those not known are worked out together."""
+        out = list(map(self.codes.__getitem__, keys))
+        if new := self.codes.new:
+            self._work_out(new)
+            self.chars += sum(map(len, new))
+            self.codes.new = []
+        return out
+
+    def met(self, codes: np.ndarray) -> None:
+        if len(self.hits) < len(self.codes):
+            self.hits = np.concatenate([self.hits, np.zeros(len(self.codes) - len(self.hits), np.int64)])
+        self.hits += np.bincount(codes, minlength=len(self.hits))
 
     @staticmethod
     def sums(known: array, codes: list[np.ndarray]) -> np.ndarray:
@@ -117,45 +186,46 @@ class _Aligner:
         table = np.frombuffer(known, np.int64)
         return np.array([int(table[c].sum()) if len(c) else 0 for c in codes], np.int64)
 
-    def _ids_b(self, piece: str) -> list[int]:
-        if piece == " ":
-            return [self.space]
-        if piece[0] == " ":
-            return self.model.encode(piece[1:])
-        ids = self.model.encode(piece)  # begins with a space of its own
-        return ids[1:] if ids and ids[0] == self.space else []
-
-    def _work_out(self, piece: str) -> None:
-        a = np.frombuffer(encode_text(piece, self.path_a), "<u4").tolist()
-        b = self._ids_b(piece)
-        data = piece.encode()
-        parts_a, parts_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
-        good = b"".join(parts_a) == data and b"".join(parts_b) == data and all(parts_a) and all(parts_b)
-        self.good.append(good)
-        groups = []
-        if good:
-            i = j = first_a = first_b = 0
-            end_a, end_b = len(parts_a[0]), len(parts_b[0])
-            while True:
-                self.pairs.append(a[i] << 40 | b[j] << 16)
-                if end_a == end_b:
-                    groups.append(",".join(map(str, a[first_a : i + 1])) + "|" + ",".join(map(str, b[first_b : j + 1])))
-                    i, j = i + 1, j + 1
-                    if i == len(a):
-                        break
-                    first_a, first_b = i, j
-                    end_a, end_b = end_a + len(parts_a[i]), end_b + len(parts_b[j])
-                elif end_a < end_b:
-                    i += 1
-                    end_a += len(parts_a[i])
-                else:
-                    j += 1
-                    end_b += len(parts_b[j])
-        self.ends.append(len(self.pairs))
-        self.n_a.append(len(a))
-        self.n_b.append(len(b))
-        self.n_groups.append(len(groups))
-        self.groups.append(";".join(groups))
+    def _ids_b(self, pieces: list[str]) -> list[list[int]]:
+        """The model puts a space before what it encodes. Where there is none, a line end shields the piece from it, as its
+        byte is never merged, and both are taken off again."""
+        texts = [p[1:] if p[0] == " " else p if p[0] == "\n" else "\n" + p for p in pieces]
+        off = [0 if p[0] == " " else 1 if p[0] == "\n" else 2 for p in pieces]
+        return [[self.space] if p == " " else ids[n:] for p, n, ids in zip(pieces, off, self.model.encode(texts, num_threads=1))]
+
+    def _work_out(self, keys: list[str]) -> None:
+        pieces = list(map(self.spelled, keys))
+        encoded = self.library.encode_batch_fast(pieces, add_special_tokens=False)
+        names = self.names
+        for piece, found, b in zip(pieces, encoded, self._ids_b(pieces)):
+            a, data = found.ids, piece.encode()
+            parts_a, parts_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
+            good = b"".join(parts_a) == data == b"".join(parts_b) and all(parts_a) and all(parts_b)
+            groups = []
+            if good:
+                i = j = first_a = first_b = 0
+                end_a, end_b = len(parts_a[0]), len(parts_b[0])
+                while True:
+                    self.pairs.append(a[i] << 40 | b[j] << 16)
+                    if end_a == end_b:
+                        i, j = i + 1, j + 1
+                        groups.append(",".join([names[x] for x in a[first_a:i]]) + "|" + ",".join([names[x] for x in b[first_b:j]]))
+                        if i == len(a):
+                            break
+                        first_a, first_b = i, j
+                        end_a, end_b = end_a + len(parts_a[i]), end_b + len(parts_b[j])
+                    elif end_a < end_b:
+                        i += 1
+                        end_a += len(parts_a[i])
+                    else:
+                        j += 1
+                        end_b += len(parts_b[j])
+            self.good.append(good)
+            self.ends.append(len(self.pairs))
+            self.n_a.append(len(a))
+            self.n_b.append(len(b))
+            self.n_groups.append(len(groups))
+            self.groups.append(";".join(groups))
 
 
 def planes(low: np.ndarray, times: np.ndarray) -> bytes:
@@ -213,6 +283,7 @@ class _Range:
         document = np.repeat(np.array([n for n, _ in with_tokens]), [len(c) for _, c in with_tokens])
         both, times = np.unique(document << 32 | np.concatenate([c for _, c in with_tokens]), return_counts=True)
         document, code = both >> 32, both & 0xFFFFFFFF
+        aligner.met(code)
         ends = np.frombuffer(aligner.ends, np.int64)
         n_pairs = ends[code + 1] - ends[code]
         place = np.arange(n_pairs.sum()) - np.repeat(np.cumsum(n_pairs) - n_pairs, n_pairs) + np.repeat(ends[code], n_pairs)
@@ -272,15 +343,14 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wit
             while begin < len(texts):
                 codes, good, digests, groups = [], [], [], []
                 chars, at = 0, begin
-                if len(aligner.codes) > KNOWN_PIECES or aligner.chars > KNOWN_CHARS:
-                    aligner.forget()
+                aligner.make_room()
                 while at < len(texts) and chars < WINDOW_CHARS and gathered.documents + at - begin < RANGE_DOCUMENTS:
                     text = texts[at].as_py() or ""
                     at += 1
                     chars += len(text)
                     whole, ok, running, spelled = [], bool(text), hashlib.sha256(), []
-                    for window in aligner.pieces(text) if text else ():
-                        of = list(map(aligner.code, window))
+                    for window in aligner.keys(text) if text else ():
+                        of = aligner.numbers(window)
                         ok = ok and all(map(aligner.good.__getitem__, of))
                         if not ok:
                             break

@@ -16,7 +16,7 @@ an empty result. Positions are code points, ends exclusive. Other columns are no
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -34,9 +34,8 @@ ROUNDS = 3
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.8
 
-# A pattern has at most so many words on its side; they are looked for so many characters around a string.
+# A pattern has at most so many words on its side.
 MAX_WORDS = 3
-WORDS_CHARS = 200
 # So many patterns are counted in one pass over the texts.
 PATTERN_BLOCK = 100_000
 
@@ -49,10 +48,15 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-# What may be an identifier behind a cue: a token with a digit or a sign of an address, or a spaced number.
-_AFTER_CUE = re.compile(r"(\S*[A-Za-z]\S*[ \t]?[:=])[ \t]*(\+?[0-9(][0-9 ().-]{5,}[0-9]|\S+)")
+# What may be an identifier behind a cue, which is a token with a letter up to its last ``:`` or ``=``, or such a sign one
+# blank behind it: a spaced number, or a token.
+_SIGN = re.compile(r"[:=]")
+_LETTER = re.compile(r"[A-Za-z]")
+_SPACE = re.compile(r"\s")
+_VALUE = re.compile(r"[ \t]*(\+?[0-9(][0-9 ().-]{5,}[0-9]|\S+)")
 _SHAPE = {
-    "email": re.compile(r"[^\s@]+(?:@|\(at\)|\[at\])[^\s@]+"),
+    # one sign of an address with something on both sides; where there is an @, that is the sign
+    "email": re.compile(r"[^\s@]++@[^\s@]+|(?=[^\s@]+\Z)[^\s@]+?(?:\(at\)|\[at\])[^\s@]+"),
     "ip": re.compile(r"[0-9A-Fa-f]+(?:[.:][0-9A-Fa-f]*){3,}"),
     "card": re.compile(r"(?:[0-9][ -]?){11,18}[0-9]"),
     "phone": re.compile(r"\+?[0-9(][0-9 ().-]{5,}[0-9]"),
@@ -63,7 +67,9 @@ _EDGES = "\"'<>[](){},;.!?"
 _AT = re.compile(r"@|\(at\)|\[at\]")
 _TOKEN = re.compile(r"\S+")
 _PARTS = re.compile(r"(?<![0-9A-Za-z.:])[0-9A-Fa-f]++(?:[.:][0-9A-Fa-f]*+){3,}+")
-_NUMBER = re.compile(r"(?<![0-9A-Za-z().+-])\+?[0-9(][0-9 ().-]{5,40}(?<=[0-9])(?![0-9])")
+# NUMBER_CHARS bounds how far the 7 to 19 digits of an unseen number may stretch with the blanks and signs between them.
+NUMBER_CHARS = 41
+_NUMBER = re.compile(rf"(?<![0-9A-Za-z().+-])\+?[0-9(][0-9 ().-]{{5,{NUMBER_CHARS - 1}}}(?<=[0-9])(?![0-9])")
 
 
 def _luhn(digits: str) -> bool:
@@ -111,24 +117,66 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return out
 
 
+def _cue_at(text: str, at: int, sign: int) -> tuple[int, int, re.Match | None, int]:
+    """The first cue not before ``at``, where ``sign`` is the first sign from there: its start and end, the match of what stands
+    behind it, and the place to go on from. There may be no match. Each character is looked at a fixed number of times."""
+    start = sign
+    while start > at and not text[start - 1].isspace():
+        start -= 1
+    if start == sign and sign - 2 >= at and text[sign - 1] in " \t" and not text[sign - 2].isspace():
+        begin = sign - 2
+        while begin > at and not text[begin - 1].isspace():
+            begin -= 1
+        value = _VALUE.match(text, sign + 1) if _LETTER.search(text, begin, sign - 1) else None
+        if value:
+            return begin, sign + 1, value, value.end()
+    gap = _SPACE.search(text, sign)
+    end = gap.start() if gap else len(text)
+    letter = _LETTER.search(text, start, end)
+    if letter is None:
+        return start, end, None, end
+    if text[end : end + 1] in (" ", "\t") and text[end + 1 : end + 2] in (":", "="):
+        value = _VALUE.match(text, end + 2)
+        if value:
+            return start, end + 2, value, value.end()
+    last = max(text.rfind(":", letter.end(), end), text.rfind("=", letter.end(), end))
+    if last >= 0:
+        value = _VALUE.match(text, last + 1)
+        if value is None:  # nothing follows the token: the sign before stands in front of its end
+            last = max(text.rfind(":", letter.end(), last), text.rfind("=", letter.end(), last))
+            value = _VALUE.match(text, last + 1) if last >= 0 else None
+        if value:
+            return start, last + 1, value, value.end()
+    return start, end, None, end
+
+
+def _cues(text: str) -> Iterator[tuple[str, int, int]]:
+    """Cues in order, with the place of what stands behind each."""
+    at = 0
+    while sign := _SIGN.search(text, at):
+        start, end, value, at = _cue_at(text, at, sign.start())
+        if value:
+            yield text[start:end], *value.span(1)
+
+
 def _contexts(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[dict]:
     """What stands behind a cue: the pattern, the string, its place, the base kind or null, the kinds it looks like."""
     out = []
     starts = {s: (kind, e) for kind in reversed(KINDS) for s, e in spans[kind]}
     taken = sorted(x for group in spans.values() for x in group)
-    for m in _AFTER_CUE.finditer(text) if ":" in text or "=" in text else ():
-        start, end = m.span(2)
+    begins, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
+    for before, start, end in _cues(text):
         raw = text[start:end]
         start += len(raw) - len(raw.lstrip(_EDGES.replace("(", "") if raw[:1] == "(" else _EDGES))
         end = max(start, end - (len(raw) - len(raw.rstrip(_EDGES))))
         kind = None
         if start in starts:
             kind, end = starts[start]
-        elif any(s < end and start < e for s, e in taken):
+        elif (k := bisect_left(begins, end)) and reach[k - 1] > start:
             continue
         value = text[start:end]
         if value:
-            cue = "".join(m.group(1).split()).lower().lstrip(_EDGES)
+            cue = "".join(before.split()).lower().lstrip(_EDGES)
             shapes = [k for k in KINDS if _SHAPE[k].fullmatch(value)] if kind is None else []
             out.append({"cue": cue, "value": value, "start": start, "end": end, "kind": kind, "shapes": shapes})
     return out
@@ -175,24 +223,36 @@ def words_of(text: str) -> list[str]:
     return [w for t in text.lower().split() if (w := t.strip(_EDGES))]
 
 
-def _beside(text: str, start: int, end: int) -> list[str]:
-    """The patterns of words left and right of a string. What is attached to the string, but for signs, leaves its side out."""
-    out = []
-    left = text[max(0, start - WORDS_CHARS) : start]
-    attached = left[len(left.rstrip(_EDGES)) - 1 : len(left.rstrip(_EDGES))]
-    if not attached or attached.isspace():
-        if start > WORDS_CHARS and not text[start - WORDS_CHARS - 1].isspace():
-            left = left[len(left) - len(left.lstrip()) :] if left[:1].isspace() else left.partition(" ")[2]
-        words = words_of(left)[-MAX_WORDS:]
-        out += ["< " + " ".join(words[-n:]) for n in range(1, len(words) + 1)]
-    right = text[end : end + WORDS_CHARS]
-    attached = right.lstrip(_EDGES)[:1]
-    if not attached or attached.isspace():
-        if end + WORDS_CHARS < len(text) and not text[end + WORDS_CHARS].isspace():
-            right = right.rpartition(" ")[0]
-        words = words_of(right)[:MAX_WORDS]
-        out += ["> " + " ".join(words[:n]) for n in range(1, len(words) + 1)]
-    return out
+class _Words:
+    """The words of a text in order, with the places of their tokens; found when first asked for."""
+
+    def __init__(self, text: str):
+        self.text, self.words = text, None
+
+    def _find(self) -> None:
+        places = [(m.start(), m.end(), w) for m in _TOKEN.finditer(self.text) if (w := m.group().lower().strip(_EDGES))]
+        self.starts, self.ends, self.words = [p[0] for p in places], [p[1] for p in places], [p[2] for p in places]
+
+    def beside(self, start: int, end: int) -> list[str]:
+        """The patterns of words left and right of a string. What is attached to the string, but for signs, leaves its side out."""
+        if self.words is None:
+            self._find()
+        out, text = [], self.text
+        at = start
+        while at > 0 and text[at - 1] in _EDGES:
+            at -= 1
+        if at == 0 or text[at - 1].isspace():
+            k = bisect_right(self.ends, start)
+            words = self.words[max(0, k - MAX_WORDS) : k]
+            out += ["< " + " ".join(words[-n:]) for n in range(1, len(words) + 1)]
+        at = end
+        while at < len(text) and text[at] in _EDGES:
+            at += 1
+        if at == len(text) or text[at].isspace():
+            k = bisect_left(self.starts, end)
+            words = self.words[k : k + MAX_WORDS]
+            out += ["> " + " ".join(words[:n]) for n in range(1, len(words) + 1)]
+        return out
 
 
 def _with_words(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[dict]:
@@ -215,10 +275,11 @@ def _with_words(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[dict
         if shapes:
             key = (start, end, None)
             found.setdefault(key, {"value": text[start:end], "start": start, "end": end, "kind": None, "shapes": [], "patterns": []})["shapes"] = shapes
+    words = _Words(text)
     for c in found.values():
         c["fails"] = _fails(c["value"]) if c["shapes"] else []
         if c["kind"] is not None or c["shapes"]:
-            c["patterns"] += _beside(text, c["start"], c["end"])
+            c["patterns"] += words.beside(c["start"], c["end"])
     return list(found.values())
 
 

@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from llm.common import AWKWARD, awkward, rows, same
+from common import AWKWARD, awkward, rows, same
 
 from crawlprism.llm import alignment
 from crawlprism.llm.common import bound_batches
@@ -109,17 +109,38 @@ def test_documents(spark, libraries):
     same([[r[c] for c in COLUMNS] for r in got.collect()], want)
 
 
-def test_pieces_cover_the_text_in_windows(monkeypatch):
-    aligner = alignment._Aligner(public_tokenizers.path(alignment.VOCABULARY_A), public_tokenizers.path(alignment.VOCABULARY_B))
+@pytest.fixture(scope="module")
+def aligner():
+    return alignment._Aligner(public_tokenizers.path(alignment.VOCABULARY_A), public_tokenizers.path(alignment.VOCABULARY_B))
+
+
+def test_pieces_cover_the_text_in_windows(aligner, monkeypatch):
     assert aligner.cuts
-    monkeypatch.setattr(alignment, "WINDOW_CHARS", 50)
-    for seed in range(60):
-        text = odd(seed)
-        monkeypatch.setattr(alignment, "WINDOW_CHARS", 50)
-        small = list(aligner.pieces(text))
-        monkeypatch.setattr(alignment, "WINDOW_CHARS", 10**6)
-        assert [p for w in small for p in w] == [p for w in aligner.pieces(text) for p in w]
-        assert "".join(p for w in small for p in w) == " " + text
+    plain_words = "One word, and another. A line\nand\u00e9, more:\nEnd."
+    for text in [plain_words, plain_words * 5, *map(odd, range(60))]:
+        for size in (3, 50, 10**6):
+            monkeypatch.setattr(alignment, "WINDOW_CHARS", size)
+            assert "".join(aligner.spelled(k) for w in aligner.keys(text) for k in w) == " " + text
+    assert "another" in [k for w in aligner.keys(plain_words) for k in w]
+
+
+def test_a_full_memory_keeps_the_frequent_pieces(aligner, monkeypatch):
+    texts = [" ".join(f"w{i * k % 97}" for i in range(50)) + " often often" for k in range(1, 30)]
+    want = []
+    for t in texts:
+        codes = np.array([c for w in aligner.keys(t) for c in aligner.numbers(w)])
+        aligner.met(np.unique(codes))
+        want.append((aligner.sums(aligner.n_a, [codes])[0], aligner.sums(aligner.n_b, [codes])[0], ";".join(aligner.groups[c] for c in codes)))
+    monkeypatch.setattr(alignment, "KNOWN_PIECES", 20)
+    for t, w in zip(texts, want):
+        aligner.make_room()
+        assert len(aligner.codes) <= 20
+        codes = np.array([c for part in aligner.keys(t) for c in aligner.numbers(part)])
+        aligner.met(np.unique(codes))
+        assert (aligner.sums(aligner.n_a, [codes])[0], aligner.sums(aligner.n_b, [codes])[0], ";".join(aligner.groups[c] for c in codes)) == w
+        pairs = {aligner.codes[k]: aligner.pairs[aligner.ends[aligner.codes[k]] : aligner.ends[aligner.codes[k] + 1]] for k in aligner.codes}
+        assert all(len(pairs[c]) == aligner.n_a[c] + aligner.n_b[c] - aligner.n_groups[c] for c in pairs)
+    assert "often" in aligner.codes
 
 
 def test_planes():
@@ -135,10 +156,9 @@ def test_planes():
         assert len(set(np.concatenate(found).tolist())) == n
 
 
-def test_postings_of_several_additions(monkeypatch):
-    aligner = alignment._Aligner(public_tokenizers.path(alignment.VOCABULARY_A), public_tokenizers.path(alignment.VOCABULARY_B))
+def test_postings_of_several_additions(aligner):
     texts = ["the cat", "the the the dog", "", "a cat and the dog"]
-    codes = [np.array([aligner.code(p) for w in aligner.pieces(t) for p in w], np.int64) if t else np.zeros(0, np.int64) for t in texts]
+    codes = [np.array([c for w in aligner.keys(t) for c in aligner.numbers(w)], np.int64) if t else np.zeros(0, np.int64) for t in texts]
     one, two = alignment._Range(), alignment._Range()
     one.add(aligner, codes, [bool(t) for t in texts])
     two.add(aligner, codes[:2], [True, True])

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from common import AWKWARD, awkward, prose, same
 
@@ -131,8 +132,41 @@ def test_places_are_counted_in_blocks(spark, monkeypatch):
 
 
 def test_surroundings_stay_linear():
-    for text in ("a" * 200_000, "1" * 200_000, "@" * 50_000, "(" * 100_000, "( " * 50_000, "a:" * 50_000, "1.1" * 50_000, "1 " * 50_000, "(at)" * 30_000):
+    n = 200_000
+    texts = ["a" * n, "1" * n, "@" * 50_000, "(" * 100_000, "( " * 50_000, "a:" * 50_000, "1.1" * 50_000, "1 " * 50_000, "(at)" * 30_000]
+    texts += ["x: y " + "a" * n, "a" * n + " :", "a" * n + " : b", "http://h/" + "q" * n, "=" * 100_000, "a" + "=" * 100_000, "x:" + " " * n, "x: " * 50_000, "a " * n + ": b"]
+    texts += ["note: x " + "a" * n + " end", "(at)" * 50_000 + "@x@", "k=" + "(at)" * 50_000 + "@x@", "=1( " * 50_000, "x =\n" * 50_000, "-- " * 50_000 + "jo@x.de " + "-- " * 50_000]
+    texts += ["tel: jo@example.com " * 5_000, "jo@example.com a:b " * 5_000]
+    for text in texts:
+        begun = time.perf_counter()
         P._with_words(text, P.base_spans(text))
+        assert time.perf_counter() - begun < 5, text[:30]
+
+
+CUE = re.compile(r"(\S*[A-Za-z]\S*[ \t]?[:=])[ \t]*(\+?[0-9(][0-9 ().-]{5,}[0-9]|\S+)")
+
+
+def test_cues_are_those_of_the_pattern():
+    """The linear search gives what one regular expression gives, which takes cubic time."""
+    pick = random.Random(5)
+    for _ in range(30_000):
+        text = "".join(pick.choice(["a", "B", "é", ":", "=", ":", " ", "\t", "\n", "1", "(", "555 0199", ".", "@"]) for _ in range(pick.randrange(1, 22)))
+        assert list(P._cues(text)) == [(m.group(1), *m.span(2)) for m in CUE.finditer(text)], repr(text)
+
+
+def test_addresses_are_those_of_the_pattern():
+    shape = re.compile(r"[^\s@]+(?:@|\(at\)|\[at\])[^\s@]+")
+    pick = random.Random(6)
+    for _ in range(20_000):
+        text = "".join(pick.choice(["a", "@", "(at)", "[at]", "(", " ", "b."]) for _ in range(pick.randrange(1, 8)))
+        assert bool(P._SHAPE["email"].fullmatch(text)) == bool(shape.fullmatch(text)), repr(text)
+
+
+def test_words_beside_a_string_may_be_long(spark):
+    long = "w" * 1_000
+    words = P._Words(f"{long} ... {long}x jo@example.com, ... {long}y")
+    start = len(long) * 2 + 7
+    assert words.beside(start, start + len("jo@example.com")) == [f"< {long}x", f"< {long} {long}x", f"> {long}y"]
 
 
 def test_too_few_seeds_teach_nothing(spark):

@@ -8,7 +8,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
-from llm.common import rows
+from common import rows
 
 from crawlprism.llm import prefix_trie
 from crawlprism.llm.common import bound_batches

@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pytest
-from llm.common import rows
+from common import rows
 
 from crawlprism.llm import url_filter
 from crawlprism.llm.common import bound_batches
