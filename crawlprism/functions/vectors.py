@@ -1,7 +1,12 @@
-"""Dot products over array columns and over sparse ML vectors, without leaving the JVM."""
+"""Dot products over array columns and sparse ML vectors in the JVM, and over token lists in Arrow batches."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,61 +41,30 @@ def sparse_norm(parts: Column) -> Column:
     return F.sqrt(_sum(F.transform(parts["values"], lambda v: v * v)))
 
 
-# Stands between a term and its weight; below any character of a token.
-_MARK = "\x01"
-
-
-def weighted_terms(sorted_tokens: Column) -> Column:
-    """One entry ``term MARK count`` per distinct term of a *sorted* token list, given as a plain column."""
-    n = F.size(sorted_tokens)
-    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    starts = F.filter(
-        places, lambda i: (i == 1) | (F.get(sorted_tokens, i - 1) != F.get(sorted_tokens, i - 2))
-    )
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(n + 1))
-    return F.zip_with(
-        starts, ends, lambda a, b: F.concat(F.get(sorted_tokens, a - 1), F.lit(_MARK), (b - a).cast("string"))
-    )
-
+def term_norm_and_dot(tokens: Column, weights: Mapping[str, int]) -> Column:
+    """``struct(norm2, dot)`` of a token list and the term counts of another.
 
-def term_norm_and_dot(tokens: Column, weighted: Column) -> Column:
-    """``struct(norm2, dot)`` of a token list and the weighted terms of another, in one fold over both, sorted together.
-
-    A weighted term sorts right behind the tokens that equal it, so the run of the token
-    is complete when its weight comes.
-    """
-    zero = F.lit(0).cast("bigint")
-    start = F.struct(F.lit(None).cast("string").alias("term"), zero.alias("run"), zero.alias("norm2"), zero.alias("dot"))
-
-    def step(acc: Column, entry: Column) -> Column:
-        is_weight = F.contains(entry, F.lit(_MARK))
-        term = F.when(is_weight, F.substring_index(entry, _MARK, 1)).otherwise(entry)
-        same = acc["term"].eqNullSafe(term)
-        run = F.when(is_weight, F.when(same, acc["run"]).otherwise(zero)).otherwise(F.when(same, acc["run"] + 1).otherwise(zero + 1))
-        weight = F.when(is_weight, F.substring_index(entry, _MARK, -1)).otherwise("0").cast("bigint")
-        return F.struct(
-            term.alias("term"),
-            run.alias("run"),
-            (acc["norm2"] + F.when(is_weight, zero).otherwise(2 * run - 1)).alias("norm2"),
-            (acc["dot"] + F.when(is_weight, run * weight).otherwise(zero)).alias("dot"),
-        )
-
-    together = F.sort_array(F.concat(tokens, weighted))
-    return F.aggregate(together, start, step, lambda acc: F.struct(acc["norm2"].alias("norm2"), acc["dot"].alias("dot")))
-
-
-def squared_term_norm(tokens: Column) -> Column:
-    """Sum of squared term counts of one token list.
-
-    Equal tokens are adjacent after a sort; the n-th copy of a term adds
-    n^2 - (n-1)^2 = 2n - 1.
+    The tokens of an Arrow batch become codes of the batch's dictionary, so the other list's weights are looked up once for
+    each distinct term of the batch and all sums are over numbers. A null list has nulls.
     """
-    start = F.struct(
-        F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("total")
-    )
-
-    def step(acc: Column, token: Column) -> Column:
-        run = F.when(acc["term"].eqNullSafe(token), acc["run"] + 1).otherwise(F.lit(1).cast("bigint"))
-        return F.struct(token.alias("term"), run.alias("run"), (acc["total"] + 2 * run - 1).alias("total"))
-
-    return F.aggregate(F.sort_array(tokens), start, step, lambda acc: acc["total"])
+    known = pa.array(list(weights), pa.string())
+    values = np.array([*weights.values(), 0], np.int64)
+
+    @F.arrow_udf("struct<norm2:bigint,dot:bigint>")
+    def both(lists: pa.Array) -> pa.Array:
+        n = len(lists)
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        coded = lists.flatten().dictionary_encode()
+        size = max(1, len(coded.dictionary))
+        key = np.repeat(np.arange(n, dtype=np.int64), lengths) * size + coded.indices.to_numpy(zero_copy_only=False)
+        pairs, counts = np.unique(key, return_counts=True)
+        # a term that the other list lacks takes the zero at the end
+        at = pc.fill_null(pc.index_in(coded.dictionary, known), len(known)).to_numpy(zero_copy_only=False)
+        row, dots = pairs // size, counts * values[at[pairs % size]] if len(pairs) else counts
+        norm2, dot = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        np.add.at(norm2, row, counts * counts)
+        np.add.at(dot, row, dots)
+        missing = lists.is_null()
+        return pa.StructArray.from_arrays([pa.array(norm2), pa.array(dot)], ["norm2", "dot"], mask=missing)
+
+    return both(tokens)

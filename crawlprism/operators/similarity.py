@@ -92,9 +92,8 @@ def with_hashed_cosine(
 def term_cosine(df: DataFrame, anchor: DataFrame, id_col: str, tokens_col: str = "tokens") -> DataFrame:
     """(id, cosine) over raw term counts for every row, zero when no term is shared.
 
-    ``anchor`` has one row; its terms and their counts are a scalar subquery. A row's norm and
-    its dot product come from one fold over its own tokens, so rows are neither exploded nor
-    shuffled, and rows that share an id stay apart.
+    A row's norm and dot product come from its own tokens, so rows are neither exploded nor shuffled, and
+    rows that share an id stay apart. See ``with_term_cosine`` for the anchor.
     """
     return with_term_cosine(df.select(id_col, tokens_col), anchor, tokens_col).select(id_col, "cosine_to_anchor")
 
@@ -102,16 +101,19 @@ def term_cosine(df: DataFrame, anchor: DataFrame, id_col: str, tokens_col: str =
 def with_term_cosine(
     df: DataFrame, anchor: DataFrame, tokens_col: str = "tokens", out_col: str = "cosine_to_anchor"
 ) -> DataFrame:
-    """Adds the cosine of ``term_cosine``."""
-    one = anchor.select(F.sort_array(tokens_col).alias("_sorted"))
-    terms = one.select(V.weighted_terms(F.col("_sorted")).alias("t")).scalar()
-    norm2 = anchor.select(V.squared_term_norm(F.col(tokens_col)).alias("n")).scalar()
-    norms = F.sqrt(F.col("_both.norm2").cast("double")) * F.sqrt(F.col("_anchor_norm2").cast("double"))
+    """Adds the cosine of ``term_cosine``.
+
+    ``anchor`` has one row. Its distinct terms with their counts are read at once and travel with the tasks: one page's
+    vocabulary, whatever the size of the corpus. NULL where either side has no tokens.
+    """
+    counts = anchor.limit(1).select(F.explode(tokens_col).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    weights = {r["term"]: r["n"] for r in counts.collect()}
+    norm = F.lit(float(sum(n * n for n in weights.values())) ** 0.5)
+    norms = F.sqrt(F.col("_both.norm2").cast("double")) * norm
     return (
-        df.withColumns({"_terms": terms, "_anchor_norm2": norm2})
-        .withColumn("_both", V.term_norm_and_dot(F.col(tokens_col), F.col("_terms")))
+        df.withColumn("_both", V.term_norm_and_dot(F.col(tokens_col), weights))
         .withColumn(out_col, F.when(norms > 0, F.col("_both.dot") / norms))
-        .drop("_terms", "_anchor_norm2", "_both")
+        .drop("_both")
     )
 
 

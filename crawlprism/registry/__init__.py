@@ -4,6 +4,7 @@ from crawlprism.registry import (  # noqa: F401  (imported for registration)
     archive_queries,
     catalog_queries,
     language_queries,
+    load_queries,
     model_queries,
     signal_queries,
     text_queries,

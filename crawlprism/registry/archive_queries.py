@@ -9,10 +9,10 @@ from crawlprism.operators import dictionaries as D
 from crawlprism.operators import numbering
 from crawlprism.plans import silver
 from crawlprism.registry.base import registry
-from crawlprism.registry.fixtures import CORPUS_SQL, PAGE_URLS_SQL, corpus, envelope_lines, load, record_texts
+from crawlprism.registry.fixtures import CORPUS_SQL, PAGE_URLS_SQL, archive_folder, corpus, envelope_lines, load, record_texts
 from crawlprism.registry.language_queries import language_sql
 from crawlprism.schemas import RECORD_COLUMNS
-from crawlprism.sources import wat, wet
+from crawlprism.sources import gzip_members, wat, wet
 
 PLACED_SQL = f"""{PAGE_URLS_SQL}, placed AS (
   SELECT d.doc_id, d.lang, d.text, p.url FROM documents d
@@ -27,19 +27,32 @@ def _body(c: str) -> str:
     return f"trim({_UNIX.format(c)}, {_SPACES})"
 
 
-@registry.add(
-    "wet_parse",
-    f"""WITH {PLACED_SQL} SELECT 'conversion' AS rec_type, url AS target_uri,
+WET_PARSE_SQL = f"""WITH {PLACED_SQL} SELECT 'conversion' AS rec_type, url AS target_uri,
         '2024-01-01T00:00:00Z' AS warc_date, '<urn:uuid:' || doc_id || '>' AS record_id,
         CAST(NULL AS VARCHAR) AS refers_to, CAST(NULL AS VARCHAR) AS warc_filename,
         CAST(NULL AS VARCHAR) AS is_part_of, CAST(NULL AS VARCHAR) AS block_digest,
         lang AS content_language, 'text/plain' AS content_type,
-        CAST(octet_length(encode(text)) AS VARCHAR) AS content_length, {_body("text")} AS content FROM placed""",
-)
+        CAST(octet_length(encode(text)) AS VARCHAR) AS content_length, {_body("text")} AS content FROM placed"""
+
+
+@registry.add("wet_parse", WET_PARSE_SQL)
 def _(spark, sf):
     return wet.parse_records(record_texts(spark, sf)).select(*RECORD_COLUMNS)
 
 
+@registry.add("wet_gzip_files", WET_PARSE_SQL)
+def _(spark, sf):
+    files = gzip_members.write_archives(record_texts(spark, sf), archive_folder(spark))
+    return wet.parse_records(gzip_members.gzip_record_scan(files, range_bytes=1024 * 1024)).select(*RECORD_COLUMNS)
+
+
+@registry.add("wet_plain_files", WET_PARSE_SQL)
+def _(spark, sf):
+    files = gzip_members.write_archives(record_texts(spark, sf), archive_folder(spark), compressed=False)
+    # one file for each writing task; files of repeated tasks are not listed
+    return wet.wet_records(spark, [r["path"] for r in files.collect()]).select(*RECORD_COLUMNS)
+
+
 @registry.add(
     "wet_headers",
     f"""WITH {PLACED_SQL} SELECT doc_id, 'conversion' AS rec_type, url AS target_uri, lang AS content_language,

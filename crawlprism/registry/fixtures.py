@@ -6,9 +6,13 @@ Each Spark builder has a SQL twin (``*_SQL``) that yields the same rows.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlprism.session import checkpoint_dir
+
 PHRASES = [
     "american community survey",
     "see data.census.gov and api.census.gov",
@@ -206,6 +210,18 @@ def record_texts(spark: SparkSession, sf: str, with_signals: bool = False) -> Da
     return pages.unionAll(heads)
 
 
+def archive_folder(spark: SparkSession) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/wet-{uuid.uuid4().hex}"
+
+
+def scratch_database(spark: SparkSession) -> str:
+    """A new database below the shared checkpoint folder, for queries that load tables and read them back."""
+    name = f"load_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{checkpoint_dir(spark).rstrip('/')}/{name}'")
+    return name
+
+
 # --- metadata envelopes ---------------------------------------------------------------
 
 

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # what one Arrow batch holds in a Python worker
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
 }
 
 # Settings that only count before the session starts: checkpoints go when nothing refers to them.
