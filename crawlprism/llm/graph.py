@@ -10,10 +10,13 @@ from crawlprism.llm.common import stored
 MAX_ROUNDS = 60
 
 
-def _star(pairs: DataFrame) -> DataFrame:
-    """Every neighbour v of u is tied to the smallest of u and its neighbours. The minima are aggregated before the shuffle."""
+def _star(pairs: DataFrame, name: str) -> DataFrame:
+    """Every neighbour v of u is tied to the smallest of u and its neighbours.
+
+    The minima are aggregated before the shuffle, and stored, so that the join can split a node with very many neighbours.
+    """
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return pairs.join(least, "u")
+    return pairs.join(stored(least, f"{name}-least"), "u")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -25,8 +28,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     before = None
     for _ in range(MAX_ROUNDS):
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = _star(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        tied = _star(large)
+        large = _star(both, name).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = stored(large, f"{name}-large")
+        tied = _star(large, name)
         small = (
             tied.select(F.col("v").alias("a"), F.col("m").alias("b"))
             .unionByName(tied.select(F.col("u").alias("a"), F.col("m").alias("b")))

@@ -227,11 +227,14 @@ def near_duplicates(
         "near-classes",
     )
     buckets = classes.select("cid", "size", F.explode("bands").alias("key"))
-    hubs = (
+    # an aggregate that is joined with its own rows is stored first: both sides of the join are then plain shuffles, whose
+    # large partitions Spark can split
+    hubs = stored(
         buckets.groupBy("key")
         .agg(F.min(F.struct("cid", "size")).alias("hub"), F.count(F.lit(1)).alias("members"))
         .where(F.col("members") > 1)
-        .select("key", F.col("hub.cid").alias("hub"), F.col("hub.size").alias("hub_size"))
+        .select("key", F.col("hub.cid").alias("hub"), F.col("hub.size").alias("hub_size")),
+        "near-hubs",
     )
     members = stored(buckets.join(hubs, "key"), "near-members")
     wanted = classes.join(members.select("cid").distinct(), "cid", "left_semi").select("text_key", "cid")
@@ -252,11 +255,12 @@ def near_duplicates(
         "key", "cid", "size", F.coalesce("label", "cid").alias("label")
     )
     parts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (
+    mixed = stored(
         parts.groupBy("key")
         .agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("n_labels"), F.sum("n").alias("members"))
         .where(F.col("n_labels") > 1)
-        .select("key", F.col("most.label").alias("main"), "members")
+        .select("key", F.col("most.label").alias("main"), "members"),
+        "near-mixed",
     )
     left = stored(labelled.join(mixed, "key"), "near-left")
     small = left.where(F.col("members") < large_bucket)
@@ -275,7 +279,7 @@ def near_duplicates(
         .join(joined.withColumnRenamed("node", "cid"), "cid", "left")
         .select("set_key", "min_id", F.coalesce("label", "cid").alias("label"))
     )
-    smallest = named.groupBy("label").agg(F.min("min_id").alias("component"))
+    smallest = stored(named.groupBy("label").agg(F.min("min_id").alias("component")), "near-smallest")
     by_set = named.join(smallest, "label").select("set_key", "component")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return (

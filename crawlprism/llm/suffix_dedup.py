@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlprism.llm.common import text_bytes
+from crawlprism.llm.common import stored, text_bytes
 
 WIDTH = 50
 ANCHOR = 24
@@ -502,7 +502,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # the one shuffle of the texts: the three steps below use it
     held = rows.repartition(n_blocks, "block")
     light = rows.where(F.col("doc_id").isNotNull()).select("block", "doc_id", "text_key")
-    first = light.groupBy("text_key").agg(F.min("doc_id").alias("first_id"))
+    # stored, so that the join below can split a text that very many rows share
+    first = stored(light.groupBy("text_key").agg(F.min("doc_id").alias("first_id")), "repeats-first")
     nothing = {"bucket": F.lit(None).cast("int"), "payload": F.lit(None).cast("binary")}
     copies = (
         light.join(first, "text_key").where(F.col("doc_id") > F.col("first_id")).withColumns(nothing)

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from common import AWKWARD, awkward, prose, rows, same
+from pyspark.sql import functions as F
 
 from crawlprism.llm import near_dup as N
 from crawlprism.llm.graph import components
@@ -122,3 +123,17 @@ def test_components_of_random_graphs(spark):
 def test_supplied_copies_are_found(spark):
     docs = [(r["doc_id"], r["text"]) for r in rows("documents")]
     same(N.digest(N.near_duplicates(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))).collect(), plain(docs, 5))
+
+
+def test_hot_keys_meet_in_plain_shuffles(spark, plan):
+    """A join with its own aggregate reads that from storage, so adaptive execution may split the other side."""
+    from crawlprism.llm import graph
+
+    pairs = spark.range(2_000).select(F.lit(0).cast("bigint").alias("u"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(graph._star(pairs, "star-test"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = text[text.index("SortMergeJoin") :]
+    assert "HashAggregate" not in join and join.count("ENSURE_REQUIREMENTS") == 2
