@@ -1,0 +1,25 @@
+"""The run summary is counted by the pass that writes the checkpoint."""
+
+from pyspark.sql import functions as F
+
+from crawlprism.operators import reports
+
+
+def test_counts_without_a_second_scan(spark, plan):
+    df = spark.range(1_000).select(
+        (F.col("id") % 2 == 0).alias("clean"), (F.col("id") % 3 == 0).alias("kept"), (F.col("id") % 5 == 0).alias("found"), F.when(F.col("id") > 9, True).alias("english")
+    )
+    columns = [F.col(c) for c in ("clean", "kept", "found")]
+    for english in (None, F.col("english")):
+        stored, summary = reports.stored_with_summary(df, *columns, english)
+        want = reports.run_summary(df, *columns, english)
+        assert summary.collect() == want.collect() and summary.dtypes == want.dtypes
+        text = plan(summary)
+        assert "RDD" not in text.replace("ExistingRDD", "") and "Range" not in text
+        assert stored.count() == 1_000
+
+
+def test_an_empty_run_has_zeros(spark):
+    none = spark.createDataFrame([], "clean boolean, kept boolean, found boolean")
+    _, summary = reports.stored_with_summary(none, F.col("clean"), F.col("kept"), F.col("found"))
+    assert [tuple(r) for r in summary.collect()] == [(0, 0, 0, 0, None)]
