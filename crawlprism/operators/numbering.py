@@ -8,8 +8,13 @@ change the partition boundaries between the two passes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crawlprism.session import cut_lineage, shuffle_width
 
@@ -60,22 +65,43 @@ def with_row_number(
     )
 
 
+def _totals_within(df: DataFrame, totals: dict[str, str]) -> DataFrame:
+    """Running totals of each partition on its own, in the order of its rows, without a shuffle."""
+    kinds = {out: "double" if isinstance(df.schema[v].dataType, T.FractionalType) else "bigint" for out, v in totals.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        so_far = dict.fromkeys(totals, 0)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns, names = list(batch.columns), list(batch.schema.names)
+            for out, value in totals.items():
+                numbers = batch.column(names.index(value)).cast(pa.float64() if kinds[out] == "double" else pa.int64())
+                running = pc.cumulative_sum(pc.fill_null(numbers, 0), start=so_far[out])
+                so_far[out] = running[-1].as_py()
+                columns.append(running)
+            yield pa.RecordBatch.from_arrays(columns, [*names, *totals])
+
+    added = T.StructType([T.StructField(out, T.DoubleType() if kind == "double" else T.LongType()) for out, kind in kinds.items()])
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *added.fields]))
+
+
 def with_running_totals(
     df: DataFrame, order_by: list[str], totals: dict[str, str], partitions: int | None = None
 ) -> DataFrame:
     """``sum(value) over (order by ... rows unbounded preceding)`` for each ``{out_col: value_col}``.
 
-    ``order_by`` must be unique per row: ties would have to share a partition.
+    ``order_by`` must be unique per row: ties would have to share a partition. NULL counts as 0; whole numbers have
+    whole totals, others doubles. The rows are shuffled once, by range: each partition, sorted as it is, adds up its own rows, and
+    the totals of the lower partitions are added to that.
     """
     sorted_rows = _range_sorted(df, order_by, partitions).withColumn("_part", F.spark_partition_id())
     values = list(dict.fromkeys(totals.values()))
     per_part = sorted_rows.groupBy("_part").agg(*[F.sum(v).alias(v) for v in values])
-    inside = (
-        Window.partitionBy("_part").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
     return (
-        sorted_rows.join(_before(per_part, "_part", values), "_part")
-        .withColumns({out: F.sum(v).over(inside) + F.col(f"_before_{v}") for out, v in totals.items()})
+        _totals_within(sorted_rows, totals)
+        .join(_before(per_part, "_part", values), "_part")
+        .withColumns({out: F.col(out) + F.col(f"_before_{v}") for out, v in totals.items()})
         .drop("_part", *[f"_before_{v}" for v in values])
     )
 

@@ -193,6 +193,16 @@ def _(spark, sf):
     return numbered.select("file_no", "doc_id", "pos", F.md5("value").alias("line"), "record_no")
 
 
+@registry.add(
+    "running_record_id_of_all",
+    f"""WITH {LINES_SQL} SELECT doc_id, CAST(pos AS INT) AS pos,
+        CAST(sum(CASE WHEN value = 'WARC/1.0' THEN 1 ELSE 0 END) OVER (ORDER BY doc_id, pos ROWS UNBOUNDED PRECEDING) AS BIGINT) AS record_no
+        FROM lines""",
+)
+def _(spark, sf):
+    return numbering.number_records(_lines(spark, sf), ["doc_id", "pos"]).select("doc_id", "pos", "record_no")
+
+
 @registry.add(
     "joined_lines",
     f"""WITH {LINES_SQL} SELECT file_no, CAST(record_no AS BIGINT) AS record_no,

@@ -50,6 +50,16 @@ def test_running_totals(spark):
     assert sorted(map(tuple, out.select("id", "a", "b").collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_running_totals_take_one_exchange_of_the_rows(spark, plan):
+    df = spark.range(500).select("id", F.when(F.col("id") % 3 > 0, F.col("id") / 4).alias("v"), F.lit("x").alias("text"))
+    out = numbering.with_running_totals(df.repartition(5), ["id"], {"a": "v"})
+    rows_side = plan(out).split("BroadcastExchange")[0]
+    assert "MapInArrow" in rows_side and "Exchange" not in rows_side and "Window" not in rows_side
+    over = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("id", F.sum(F.coalesce("v", F.lit(0.0))).over(over))
+    assert sorted(map(tuple, out.select("id", "a").collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_measured_width(spark):
     df = spark.range(1000).withColumn("t", F.repeat(F.lit("x"), 100)).withColumn("n", F.lit(None).cast("string"))
     assert width_for(df) == 8
