@@ -41,30 +41,40 @@ def sparse_norm(parts: Column) -> Column:
     return F.sqrt(_sum(F.transform(parts["values"], lambda v: v * v)))
 
 
-def term_norm_and_dot(tokens: Column, weights: Mapping[str, int]) -> Column:
-    """``struct(norm2, dot)`` of a token list and the term counts of another.
+def term_norms_and_dots(lists: pa.Array, weights: Mapping[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """For each token list its squared norm and its dot product with the term counts of another list.
 
-    The tokens of an Arrow batch become codes of the batch's dictionary, so the other list's weights are looked up once for
-    each distinct term of the batch and all sums are over numbers. A null list has nulls.
+    The tokens become codes of the array's dictionary, so the other list's weights are looked up once for
+    each distinct term and all sums are over numbers. A null list counts as empty.
     """
-    known = pa.array(list(weights), pa.string())
-    values = np.array([*weights.values(), 0], np.int64)
-
-    @F.arrow_udf("struct<norm2:bigint,dot:bigint>")
-    def both(lists: pa.Array) -> pa.Array:
-        n = len(lists)
-        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        coded = lists.flatten().dictionary_encode()
-        size = max(1, len(coded.dictionary))
-        key = np.repeat(np.arange(n, dtype=np.int64), lengths) * size + coded.indices.to_numpy(zero_copy_only=False)
-        pairs, counts = np.unique(key, return_counts=True)
+    n = len(lists)
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    coded = lists.flatten().dictionary_encode()
+    size = max(1, len(coded.dictionary))
+    key = np.repeat(np.arange(n, dtype=np.int64), lengths) * size + coded.indices.to_numpy(zero_copy_only=False)
+    pairs, counts = np.unique(key, return_counts=True)
+    norm2, dot = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    if len(pairs):
         # a term that the other list lacks takes the zero at the end
-        at = pc.fill_null(pc.index_in(coded.dictionary, known), len(known)).to_numpy(zero_copy_only=False)
-        row, dots = pairs // size, counts * values[at[pairs % size]] if len(pairs) else counts
-        norm2, dot = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        np.add.at(norm2, row, counts * counts)
-        np.add.at(dot, row, dots)
-        missing = lists.is_null()
-        return pa.StructArray.from_arrays([pa.array(norm2), pa.array(dot)], ["norm2", "dot"], mask=missing)
-
-    return both(tokens)
+        at = pc.fill_null(pc.index_in(coded.dictionary, pa.array(list(weights), pa.string())), len(weights))
+        values = np.array([*weights.values(), 0], np.int64)[at.to_numpy(zero_copy_only=False)]
+        np.add.at(norm2, pairs // size, counts * counts)
+        np.add.at(dot, pairs // size, counts * values[pairs % size])
+    return norm2, dot
+
+
+def squared_term_norm(tokens: Column) -> Column:
+    """Sum of squared term counts of one token list.
+
+    Equal tokens are adjacent after a sort; the n-th copy of a term adds
+    n^2 - (n-1)^2 = 2n - 1.
+    """
+    start = F.struct(
+        F.lit(None).cast("string").alias("term"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("total")
+    )
+
+    def step(acc: Column, token: Column) -> Column:
+        run = F.when(acc["term"].eqNullSafe(token), acc["run"] + 1).otherwise(F.lit(1).cast("bigint"))
+        return F.struct(token.alias("term"), run.alias("run"), (acc["total"] + 2 * run - 1).alias("total"))
+
+    return F.aggregate(F.sort_array(tokens), start, step, lambda acc: acc["total"])

@@ -112,10 +112,10 @@ def _batch_counts(batch: pa.RecordBatch, sizes: Iterable[int], removed: pa.Array
         parts = [(column[rows[at]], size) for column, size in group_parts] + [(codes[at + k], len(words)) for k in range(n)]
         first, counts = _distinct(parts)
         at = at[first]
-        spelled = pc.binary_join_element_wise(*(words.take(pa.array(codes[at + k])) for k in range(n)), " ")
+        spelled = pc.binary_join_element_wise(*(pc.array_take(words, pa.array(codes[at + k])) for k in range(n)), " ")
         of = pa.array(rows[at])
         yield pa.RecordBatch.from_arrays(
-            [*(g.take(of) for g in groups), pa.array(np.full(len(at), n, np.int32)), spelled, pa.array(counts.astype(np.int64))],
+            [*(pc.array_take(g, of) for g in groups), pa.array(np.full(len(at), n, np.int32)), spelled, pa.array(counts.astype(np.int64))],
             [*names, "n", "term", "frequency"],
         )
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlprism.functions.urls import root_url, top_level_domain
 from crawlprism.operators import dictionaries as D
-from crawlprism.session import cut_lineage
 
 
 def with_site_columns(df: DataFrame, uri_col: str = "target_uri") -> DataFrame:
@@ -70,41 +69,19 @@ def site_presence(
     return one.select(F.inline(F.array(*lines)))
 
 
-def summary_counts(parsed: Column, kept: Column, found: Column, english: Column | None = None) -> list[Column]:
-    """The counts of a run over flagged records.
+def run_summary(
+    df: DataFrame, parsed: Column, kept: Column, found: Column, english: Column | None = None
+) -> DataFrame:
+    """One-row summary of a run in one pass over flagged records.
 
     ``processed`` counts records. ``total_english_records_found`` keeps its historic
     meaning, records that pass the length filter; ``total_english_only`` counts pages
     whose language status is english_only, and is NULL when that was not computed.
     """
-    return [
+    return df.agg(
         F.count_if(found).alias("total_products_found"),
         F.count_if(parsed).alias("total_clean_count"),
         F.count_if(kept).alias("total_english_records_found"),
         F.count(F.lit(1)).alias("total_records_processed"),
-        (F.sum(F.lit(None).cast("bigint")) if english is None else F.count_if(english)).alias("total_english_only"),
-    ]
-
-
-def run_summary(
-    df: DataFrame, parsed: Column, kept: Column, found: Column, english: Column | None = None
-) -> DataFrame:
-    """One-row summary of a run in one pass over flagged records."""
-    return df.agg(*summary_counts(parsed, kept, found, english))
-
-
-SUMMARY_SCHEMA = (
-    "total_products_found bigint, total_clean_count bigint, total_english_records_found bigint, "
-    "total_records_processed bigint, total_english_only bigint"
-)
-
-
-def stored_with_summary(
-    df: DataFrame, parsed: Column, kept: Column, found: Column, english: Column | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """The frame, checkpointed, and its summary, counted by the same pass that writes the checkpoint."""
-    counts = Observation()
-    stored = cut_lineage(df.observe(counts, *summary_counts(parsed, kept, found, english)))
-    seen = counts.get
-    names = [c.split(" ")[0] for c in SUMMARY_SCHEMA.split(", ")]
-    return stored, df.sparkSession.createDataFrame([tuple(seen[n] for n in names)], SUMMARY_SCHEMA)
+        (F.lit(None).cast("bigint") if english is None else F.count_if(english)).alias("total_english_only"),
+    )

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crawlprism.functions import vectors as V
 from crawlprism.operators.sampling import first_per_group
@@ -104,17 +108,21 @@ def with_term_cosine(
     """Adds the cosine of ``term_cosine``.
 
     ``anchor`` has one row. Its distinct terms with their counts are read at once and travel with the tasks: one page's
-    vocabulary, whatever the size of the corpus. NULL where either side has no tokens.
+    vocabulary, whatever the size of the corpus. NULL where either side has no tokens. All columns of ``df`` pass
+    through Arrow batches, so give it those that are wanted.
     """
     counts = anchor.limit(1).select(F.explode(tokens_col).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     weights = {r["term"]: r["n"] for r in counts.collect()}
-    norm = F.lit(float(sum(n * n for n in weights.values())) ** 0.5)
-    norms = F.sqrt(F.col("_both.norm2").cast("double")) * norm
-    return (
-        df.withColumn("_both", V.term_norm_and_dot(F.col(tokens_col), weights))
-        .withColumn(out_col, F.when(norms > 0, F.col("_both.dot") / norms))
-        .drop("_both")
-    )
+    place = df.columns.index(tokens_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            norm2, dot = V.term_norms_and_dots(batch.column(place), weights)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(norm2), pa.array(dot)], [*batch.schema.names, "_norm2", "_dot"])
+
+    parts = T.StructType([*df.schema.fields, T.StructField("_norm2", T.LongType()), T.StructField("_dot", T.LongType())])
+    norms = F.sqrt(F.col("_norm2").cast("double")) * F.lit(float(sum(n * n for n in weights.values())) ** 0.5)
+    return df.mapInArrow(run, parts).withColumn(out_col, F.when(norms > 0, F.col("_dot") / norms)).drop("_norm2", "_dot")
 
 
 def most_similar(df: DataFrame, k: int = 20, score_col: str = "cosine_to_anchor", tiebreak: str = "record_id") -> DataFrame:

@@ -14,10 +14,10 @@ from crawlprism.operators import dictionaries as D
 from crawlprism.operators import joins
 from crawlprism.operators.language import detect_language
 from crawlprism.operators.numbering import with_row_number
-from crawlprism.operators.reports import stored_with_summary
+from crawlprism.operators.reports import run_summary
 from crawlprism.operators.signals import mentions
 from crawlprism.schemas import RECORD_COLUMNS
-from crawlprism.session import width_for
+from crawlprism.session import cut_lineage, width_for
 from crawlprism.sources import tables
 from crawlprism.sources.wet import parse_all, record_scan
 
@@ -51,7 +51,7 @@ def silver_pages(
 ) -> tuple[DataFrame, DataFrame]:
     """Silver pages (record columns, ``lang_status``, ``row_num``) and the one-row run summary.
 
-    The archives are scanned once, and the summary is counted as the checkpoint is written. Pages that will be dropped keep only their id and
+    The archives are scanned once. Pages that will be dropped keep only their id and
     flags, so the checkpoint and the global numbering carry page text for found pages
     alone. Numbers are assigned before the filters, which leaves gaps, and a record id
     that many records share is spread over tasks. Language runs on found pages, or on
@@ -66,20 +66,23 @@ def silver_pages(
         flagged = flagged.withColumn("found", F.col("found") & F.col("english"))
     payload = [c for c in RECORD_COLUMNS if c != "record_id"]
     extra = ["english", "lang_status"] if english_only else []
-    lean = flagged.select(
-        "clean",
-        "kept",
-        "found",
-        *extra,
-        "record_id",
-        *[F.when(F.col("found"), F.col(c)).alias(c) for c in payload],
+    staged = cut_lineage(
+        flagged.select(
+            "clean",
+            "kept",
+            "found",
+            *extra,
+            "record_id",
+            *[F.when(F.col("found"), F.col(c)).alias(c) for c in payload],
+        )
     )
-    english = F.col("english") if english_only else None
-    staged, summary = stored_with_summary(lean, F.col("clean"), F.col("kept"), F.col("found"), english)
     numbered = with_row_number(staged.where(F.col("clean")), ["record_id"], partitions=width_for(staged))
     pages = numbered.where(F.col("found"))
     if not english_only:
         pages = detect_language(pages, add_bool=False, **language)
+    summary = run_summary(
+        staged, F.col("clean"), F.col("kept"), F.col("found"), F.col("english") if english_only else None
+    )
     return pages.select(*RECORD_COLUMNS, "lang_status", F.col("row_num").cast("bigint").alias("row_num")), summary
 
 
