@@ -13,31 +13,43 @@ from crawlprism.llm.common import bound_batches, stored, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without text or without a letter go."""
+    """Documents without text or without a letter go: null, empty and blank texts, digits and signs. All others stay, whatever
+    their language, also where no label was there to learn from. Repeated rows are judged alike; null ids stay.
+    """
     bound_batches(spark)
     return language_id.keep_identified(docs, language_id.training_sample(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, by shingles of five words, the document with the smallest id stays."""
+    """Of each group of near duplicates, by shingles of five words, the document with the smallest id stays.
+
+    Of rows that share that id and text one stays. A text that is null or has no word is linked with nothing and stays. A null id loses
+    against any other; texts of any length are compared whole.
+    """
     bound_batches(spark)
     return near_dup.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a window of the benchmark occurs go."""
+    """Documents in which a window of the benchmark occurs go. Null and empty texts and benchmark items have no window; repeated rows
+    are judged alike; with an empty benchmark all stay.
+    """
     bound_batches(spark)
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data gives way to its kind in brackets."""
+    """Personal data gives way to its kind in brackets, and ``n_chars`` follows the text. Where spans overlap, the leftmost counts, of
+    those that begin together the longest; null texts stay null; every row stays, repeated ones too.
+    """
     bound_batches(spark)
     return pii.redacted(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded bytes."""
+    """Token counts and digests of the ids and of the decoded bytes, one row for each document. Null text is empty; repeated rows give
+    repeated rows.
+    """
     bound_batches(spark)
     return bpe.digest(bpe.decode(bpe.encode(docs)))
 
