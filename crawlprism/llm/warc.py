@@ -1,7 +1,7 @@
 """WARC archives as a chunked record table.
 
-A payload is a series of (record, chunk number, bytes) rows on its way into and out of the archive. Python sees
-one chunk at a time and carries the digest along, so no record is held whole there. Archives are gzip files
+A payload is a series of (record, chunk number, bytes) rows from where it is read on: chunks are shuffled, sorted, written and read
+back. Python sees one chunk at a time and carries the digest along, so no record is held whole there. Archives are gzip files
 with one member for each record. A manifest of byte ranges says which records were written; a file that a lost
 or repeated task left behind is in no manifest.
 
@@ -47,35 +47,54 @@ def file_system(folder: str):
     return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
 
 
-def planned_records(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_revisit_bytes: int = MIN_REVISIT_BYTES
-) -> DataFrame:
-    """Each row with its payload's size and digest, its record type and the record it refers to.
+def winners(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html") -> DataFrame:
+    """The record that others with the same payload refer to, for each digest and size; stored, so that what is joined with it can be split."""
+    payload = _payload(payload_col)
+    known = pages.select(F.col(id_col).alias("id"), F.sha1(payload).alias("sha1"), F.octet_length(payload).cast("bigint").alias("size"))
+    return stored(known.groupBy("sha1", "size").agg(F.max("id").alias("winner")), "warc-winners")
+
+
+def _payload(payload_col: str):
+    return F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
 
-    Copies are found by digest and size: those are aggregated before they are shuffled. The payloads move once,
-    in a join whose large partitions Spark can split.
-    """
-    payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload")).select(
-        "id", "url", "payload", F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("bigint").alias("size")
-    )
-    first = rows.groupBy("sha1", "size").agg(F.max("id").alias("winner"))
-    copy = (F.col("size") >= min_revisit_bytes) & F.col("winner").isNotNull() & ~F.col("id").eqNullSafe(F.col("winner"))
-    return rows.join(first, ["sha1", "size"]).select(
-        F.col("id").cast("string").alias("id"), "url", "payload", "sha1", "size", F.when(copy, F.col("winner").cast("string")).alias("refers_to")
-    )
 
+def chunked(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """One row for each chunk of each payload, made where the payload is read; an empty payload has one empty chunk.
 
-def chunked(records: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """One row for each chunk, in order; a record without payload to write has one empty chunk."""
-    size = F.when(F.col("refers_to").isNull(), F.col("size")).otherwise(0)
-    n = F.greatest(F.ceil(size / chunk_bytes), F.lit(1)).cast("int")
+    ``record`` tells rows apart whose ids are the same or null.
+    """
+    payload = _payload(payload_col)
+    rows = pages.select(
+        F.monotonically_increasing_id().alias("record"), F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"),
+        F.sha1(payload).alias("sha1"), F.octet_length(payload).cast("bigint").alias("size"),
+    )
+    n = F.greatest(F.ceil(F.col("size") / chunk_bytes), F.lit(1)).cast("int")
     data = F.substring("payload", F.col("chunk") * chunk_bytes + 1, F.lit(chunk_bytes))
-    return records.select("*", n.alias("n_chunks"), F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk")).select(
-        "id", "url", "sha1", "size", "refers_to", "n_chunks", "chunk", F.when(F.col("refers_to").isNull(), data).otherwise(F.lit(b"")).alias("data")
+    return rows.select("*", n.alias("n_chunks"), F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk")).select(
+        "record", "id", "url", "sha1", "size", "n_chunks", "chunk", data.alias("data")
     )
 
 
+def planned_records(chunks: DataFrame, winner: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
+    """The chunk rows to write, with the record that a revisit refers to; of a revisit one empty chunk is left.
+
+    All chunks of a record come from one map task, and a hot payload's partition is split by map tasks, so a record's chunks stay together.
+    """
+    copy = (F.col("size") >= min_revisit_bytes) & F.col("winner").isNotNull() & ~F.col("id").eqNullSafe(F.col("winner"))
+    return (
+        chunks.join(winner, ["sha1", "size"])
+        .withColumn("refers_to", F.when(copy, F.col("winner").cast("string")))
+        .where(F.col("refers_to").isNull() | (F.col("chunk") == 0))
+        .select(
+            "record", F.col("id").cast("string").alias("id"), "url", "sha1", "size", "refers_to",
+            F.when(F.col("refers_to").isNull(), F.col("n_chunks")).otherwise(1).alias("n_chunks"), "chunk",
+            F.when(F.col("refers_to").isNull(), F.col("data")).otherwise(F.lit(b"")).alias("data"),
+        )
+        .sortWithinPartitions("record", "chunk")
+        .drop("record")
+    )
+
+
 def _digest(sha1_hex: str) -> str:
     return base64.b32encode(bytes.fromhex(sha1_hex)).decode()
 
@@ -263,7 +282,7 @@ def archive_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """
     spark = pages.sparkSession
     folder = scratch_path(spark, "warc")
-    manifest = write_archives(chunked(planned_records(pages, id_col, url_col, payload_col)), folder)
+    manifest = write_archives(planned_records(chunked(pages, id_col, url_col, payload_col), winners(pages, id_col, payload_col)), folder)
     kind = pages.schema[id_col].dataType
     last = read_archives(manifest, with_data=False).where(F.col("digest").isNotNull())
     wrong = (F.col("record_type") == "response") & (

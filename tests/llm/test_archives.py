@@ -8,6 +8,7 @@ import zlib
 from pathlib import Path
 
 from common import same
+from pyspark.sql import functions as F
 
 from crawlprism.llm import warc as W
 from crawlprism.llm.common import scratch_path
@@ -50,7 +51,7 @@ def test_empty_table(spark):
 
 def test_chunks_and_form(spark):
     folder = scratch_path(spark, "warc-test")
-    manifest = W.write_archives(W.chunked(W.planned_records(pages(spark)), 70_000), folder)
+    manifest = W.write_archives(W.planned_records(W.chunked(pages(spark), chunk_bytes=70_000), W.winners(pages(spark))), folder)
     chunks = W.read_archives(manifest, chunk_bytes=50_000).collect()
     body = b"".join(bytes(r.data) for r in sorted((r for r in chunks if r.id == "7"), key=lambda r: r.chunk))
     assert body == BIG.encode() and max(len(r.data) for r in chunks) <= 50_000
@@ -74,10 +75,33 @@ def test_chunks_and_form(spark):
 
 
 def test_min_revisit_bytes(spark):
-    types = {r.id: r.refers_to for r in W.planned_records(pages(spark), min_revisit_bytes=100).collect()}
+    planned = W.planned_records(W.chunked(pages(spark)), W.winners(pages(spark)), min_revisit_bytes=100)
+    types = {r.id: r.refers_to for r in planned.collect()}
     assert types["1"] is None and types["6"] == "7"
 
 
+def test_chunks_move_and_hot_payloads_can_be_split(spark, plan):
+    sizes = W.chunked(pages(spark), chunk_bytes=1000).select("record", F.length("data").alias("n"), "n_chunks", "size")
+    assert all(r.n <= 1000 for r in sizes.collect())
+    assert sizes.where("record is not null").groupBy("record").agg(F.sum("n").alias("n"), F.first("size").alias("size")).where("n <> size").count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shape = plan(W.planned_records(W.chunked(pages(spark)), W.winners(pages(spark))))
+        planned = W.planned_records(W.chunked(pages(spark), chunk_bytes=1000), W.winners(pages(spark))).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # both sides are plain shuffles: no aggregate stands between the join and its exchange
+    assert "SortMergeJoin" in shape and "HashAggregate" not in shape
+    # a record's chunks follow one another in order, also of rows that are equal
+    left = 0
+    for r in planned:
+        assert r.chunk == (0 if left == 0 else n - left)
+        if left == 0:
+            left = n = r.n_chunks
+        left -= 1
+    assert left == 0
+
+
 def test_stream_reports_a_cut_archive():
     out = io.BytesIO()
     row = ("1", "u", hashlib.sha1(b"abc").hexdigest(), 3, None, 1, 0, b"abc")
