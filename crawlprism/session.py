@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # what one Arrow batch holds in a Python worker
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
+    # the keys a stream remembers lie on local disk and in its checkpoint, not in the heap
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Settings that only count before the session starts: checkpoints go when nothing refers to them.

@@ -1,8 +1,9 @@
 """Incremental loads: file streams that run to the end of the new files and stop.
 
-Each batch is a load of its own, so no stream state is kept. Duplicates are checked
-against the target table inside each batch; a batch that is replayed after a failure
-finds its rows already there.
+Each batch is a load of its own. Duplicates are checked against the target table inside
+each batch; a batch that is replayed after a failure finds its rows already there. A
+catalog stream may also remember recent keys in its state, which keeps most repeats from
+that check.
 """
 
 from __future__ import annotations
@@ -34,6 +35,17 @@ def append_unseen(table: str, key: str, session: SparkSession | None = None) ->
     return write
 
 
+def first_arrivals(stream: DataFrame, key: str, remember: str) -> DataFrame:
+    """Without the rows whose key came before, within ``remember`` of its first arrival.
+
+    Time is that of arrival, so no row is late and none is lost; keys are forgotten with it, which bounds the state. A key that was
+    forgotten passes. Rows without a key all pass.
+    """
+    keyless = F.when(F.col(key).isNull(), F.expr("uuid()"))
+    timed = stream.withColumn("_keyless", keyless).withColumn("_arrived", F.current_timestamp())
+    return timed.withWatermark("_arrived", remember).dropDuplicatesWithinWatermark([key, "_keyless"]).drop("_keyless", "_arrived")
+
+
 def _run(stream: DataFrame, table: str, key: str, checkpoint: str) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(append_unseen(table, key, stream.sparkSession))
@@ -86,7 +98,14 @@ def ingest_manifest(
     checkpoint: str,
     file_format: str = "parquet",
     schema: str = MANIFEST_SCHEMA,
+    remember: str | None = None,
 ) -> StreamingQuery:
-    """New listing files to the crawl table, unseen keys only."""
+    """New listing files to the crawl table, unseen keys only.
+
+    With ``remember`` (such as ``7 days``) keys listed again within that time are dropped by the stream's state, and the table is asked
+    for the others alone. It is fixed for the life of a checkpoint.
+    """
     listing = spark.readStream.format(file_format).schema(schema).load(source)
+    if remember is not None:
+        listing = first_arrivals(listing, "obj_key", remember)
     return _run(listing, table, "obj_key", checkpoint)

@@ -1,5 +1,6 @@
 """Table loads end to end, streams, and the shape of every registered plan."""
 
+import time
 from pathlib import Path
 
 import pytest
@@ -240,6 +241,36 @@ def test_manifest_stream(spark, manifest, tmp_path, name):
     assert run() == manifest.count() == spark.read.table(name("m")).select("obj_key").distinct().count()
 
 
+def test_stream_state_drops_repeats(spark, tmp_path):
+    """Repeats in a later run are dropped by the state; keyless and old rows pass; keys are forgotten in time."""
+    schema = "obj_key string, last_modified timestamp, size bigint"
+
+    def run(place, rows, remember):
+        frame = spark.createDataFrame(rows, "obj_key string, size bigint")
+        old = F.lit("1996-01-01").cast("timestamp")  # an old object is not a late row
+        frame.select("obj_key", old.alias("last_modified"), "size").write.mode("append").parquet(str(tmp_path / place))
+        seen = []
+        stream = ingest.first_arrivals(spark.readStream.schema(schema).parquet(str(tmp_path / place)), "obj_key", remember)
+        query = (
+            stream.writeStream.foreachBatch(lambda batch, _: seen.extend((r.obj_key, r.size) for r in batch.collect()))
+            .option("checkpointLocation", str(tmp_path / f"{place}-cp"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return sorted(seen, key=str), query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    assert run("kept", [("a", 1), ("b", 2), ("a", 1), (None, 3)], "1 hour") == ([("a", 1), ("b", 2), (None, 3)], 3)
+    assert run("kept", [("a", 1), ("c", 4), (None, 5)], "1 hour") == ([("c", 4), (None, 5)], 5)
+    sizes = []
+    for k in range(4):
+        rows, held = run("short", [(f"k{k}", k)], "1 second")
+        sizes.append(held)
+        assert rows == [(f"k{k}", k)]
+        time.sleep(2.5)
+    assert max(sizes) <= 2
+
+
 def test_keyless_rows_are_not_merged(spark, name):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 3)], "k string, v int")
     ingest.append_unseen(name("t"), "k")(df, 0)
