@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from crawlprism.llm.common import kept
 from crawlprism.llm.pretokens import splitter
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -43,23 +43,25 @@ BUCKET_BYTES = 64 * 1024 * 1024
 PARTITION_BYTES = 4 * 1024 * 1024
 
 
-@lru_cache(2)
 def ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as file:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
-@lru_cache(2)
 def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks(path), special_tokens={})
+    build = lambda: tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks(path), special_tokens={})
+    return kept(("bpe-encoding", path, pattern), build)
 
 
-@lru_cache(2)
 def _token_bytes(path: str) -> list[bytes]:
-    table = [b""] * (max(ranks(path).values()) + 1)
-    for token, rank in ranks(path).items():
-        table[rank] = token
-    return table
+    def build() -> list[bytes]:
+        known = ranks(path)
+        table = [b""] * (max(known.values()) + 1)
+        for token, rank in known.items():
+            table[rank] = token
+        return table
+
+    return kept(("bpe-bytes", path), build)
 
 
 def _pack(*arrays: np.ndarray, tail: bytes = b"") -> bytes:
@@ -172,6 +174,7 @@ def _encode_words(dealt: DataFrame, path: str, pattern: str) -> DataFrame:
                 blocks_.append(block)
                 payloads.append(_pack(rank, counts, tail=b"".join(found)))
             yield pa.RecordBatch.from_arrays([pa.array(blocks_, pa.string()), pa.array(payloads, pa.binary())], ["key", "ids"])
+        pa.default_memory_pool().release_unused()
 
     return dealt.mapInArrow(run, "key string, ids binary")
 
@@ -193,8 +196,10 @@ def _assemble(id_type: pa.DataType):
     return run
 
 
-# Ids that one Arrow batch of the result holds.
-OUT_IDS = 1_000_000
+# Ids that one Arrow batch of the result holds, and pre-tokens that are counted at once: arrays of eight bytes
+# for each do not add up to more than a few MB, however large the block.
+OUT_IDS = 250_000
+COUNTED = 250_000
 
 
 def _documents(parts: list, payload: bytes, doc_ids: pa.Array, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -209,11 +214,10 @@ def _documents(parts: list, payload: bytes, doc_ids: pa.Array, id_type: pa.DataT
         base += len(ids)
     table = np.concatenate([ids for _, _, ids in parts]) if parts else np.zeros(0, np.uint32)
     lengths, *planes, _ = _unpack(payload, np.uint32, *[np.uint8] * 4)
-    if len(planes[0]) and int(_ranks(planes, 0, len(planes[0])).max()) >= n_words:
+    if any(int(_ranks(planes, a, a + COUNTED).max()) >= n_words for a in range(0, len(planes[0]), COUNTED)):
         raise ValueError("a block does not have the words it was made with")
     ends = np.cumsum(lengths, dtype=np.int64)
-    weight = np.concatenate(([0], np.cumsum(counts[_ranks(planes, 0, int(ends[-1]))]))) if len(ends) and ends[-1] else np.zeros(1, np.int64)
-    total = weight[ends] if len(ends) else ends  # ids up to the end of each document
+    total = _ids_until(ends, planes, counts)
     first = 0
     while first < len(lengths):
         begun = int(total[first - 1]) if first else 0
@@ -229,6 +233,17 @@ def _documents(parts: list, payload: bytes, doc_ids: pa.Array, id_type: pa.DataT
         first = last
 
 
+def _ids_until(ends: np.ndarray, planes: list[np.ndarray], counts: np.ndarray) -> np.ndarray:
+    """Ids up to the end of each document, from its last pre-token's place."""
+    total, before = np.zeros(len(ends), np.int64), 0
+    for a in range(0, len(planes[0]), COUNTED):
+        until = before + np.cumsum(counts[_ranks(planes, a, a + COUNTED)])
+        within = slice(np.searchsorted(ends, a, side="right"), np.searchsorted(ends, a + len(until), side="right"))
+        total[within] = until[ends[within] - a - 1]
+        before = int(until[-1])
+    return total
+
+
 def _ranks(planes: list[np.ndarray], a: int, b: int) -> np.ndarray:
     out = planes[0][a:b].astype(np.uint32)
     for i in (1, 2, 3):
@@ -262,9 +277,11 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             column = batch.column(1)
             offsets = column.offsets.to_pylist()
-            flat = column.values.to_pylist()
-            decoded = [b"".join(map(lookup, flat[a:b])) for a, b in zip(offsets, offsets[1:])]
+            flat = column.values.to_numpy()
+            # the ids of one document at a time are objects
+            decoded = [b"".join(map(lookup, flat[a:b].tolist())) for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), column, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
+        pa.default_memory_pool().release_unused()
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")

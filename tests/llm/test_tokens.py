@@ -66,6 +66,32 @@ def test_small_blocks(spark, tik, monkeypatch):
     assert got == {i: tik.encode_ordinary(t or "") for i, t in docs}
 
 
+def test_large_blocks_take_little_memory():
+    """Beside a block's payload, which takes four bytes for each pre-token, only short arrays are held."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, pick = 4_000_000, np.random.default_rng(1)
+    sequence = pick.integers(0, 1000, n, dtype=np.uint32)
+    planes = [((sequence >> np.uint32(8 * i)) & np.uint32(0xFF)).astype(np.uint8) for i in range(4)]
+    lengths = np.full(n // 1000, 1000, np.uint32)
+    lengths[0], lengths[7], lengths[-1] = 0, 0, 3000
+    words = np.arange(1000, dtype=np.uint32)
+    table = [(words, np.full(1000, 1, np.uint32) + words % 2, np.repeat(words, 1 + words % 2).astype(np.uint32))]
+    payload, ids = bpe._pack(lengths, *planes), pa.array(range(len(lengths)))
+    ends = np.cumsum(lengths, dtype=np.int64)
+    want = np.diff(np.concatenate(([0], np.concatenate(([0], np.cumsum(1 + sequence % 2)))[ends])))
+    tracemalloc.start()
+    try:
+        sizes = [np.diff(b.column(1).offsets.to_numpy()) for b in bpe._documents(table, payload, ids, pa.int64())]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.concatenate(sizes).tolist() == want.tolist()
+    assert peak < 16 * n
+
+
 def test_empty_tables(spark):
     assert bpe.digest(bpe.decode(bpe.encode(awkward(spark, [])))).collect() == []
     assert T.token_round_trip(awkward(spark, [])).collect() == []
