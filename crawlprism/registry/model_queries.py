@@ -197,7 +197,8 @@ def _(spark, sf):
         ORDER BY cosine_to_anchor DESC, target_uri LIMIT 20""",
 )
 def _(spark, sf):
-    labelled = signals.label_pages(corpus(spark, sf)).select("record_id", "target_uri", "label", "text_norm")
+    # read for the first URI, for its page and for the others, so labelled once and stored
+    labelled = cut_lineage(signals.label_pages(corpus(spark, sf)).select("record_id", "target_uri", "label", "text_norm"))
     pages = labelled.withColumn("tokens", X.without_words(X.word_tokens("text_norm")))
     first = labelled.agg(F.min("target_uri")).scalar()
     marked = pages.withColumn("_anchor_uri", first)

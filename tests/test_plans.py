@@ -324,6 +324,11 @@ def test_shuffles_carry_no_more_than_they_need(spark, sf, plan):
     assert "Generate" not in plan(registry["cosine_terms_to_anchor"].build(spark, sf))
 
 
+def test_similar_pages_are_labelled_once(spark, sf, plan):
+    """The anchor's URI, its page and the other pages are read from the stored labelled pages."""
+    assert "FileScan" not in plan(registry["similar_pages"].build(spark, sf))
+
+
 def test_fixtures_hold_what_the_operators_act_on(spark, sf):
     """Each of these operators changes rows of the fixtures."""
     pages = reports.with_site_columns(corpus(spark, sf))
