@@ -1,7 +1,7 @@
 """Term and n-gram frequencies.
 
-Counting works on numbers: the tokens of an Arrow batch become codes of the batch's own dictionary, windows of codes are
-counted per batch, and only the distinct ones are spelled out. What is shuffled is one row for each distinct n-gram of a batch.
+Counting works on numbers: the tokens of a piece of an Arrow batch become codes of the piece's own dictionary, windows of codes are
+counted per piece, and only the distinct ones are spelled out. What is shuffled is one row for each distinct n-gram of a task.
 
 Reports of the most frequent n-grams need fewer still. An n-gram is at most as frequent as its rarest word, so once a lower
 bound for the last place of the report is known, windows with a rarer word are never counted. One pass gives the frequencies of all words and,
@@ -30,6 +30,8 @@ from crawlprism.session import cut_lineage
 BUCKETS = 2**20
 # One n-gram in so many belongs to the slice that the first pass counts.
 SLICES = 16
+# Tokens that are counted at once, whatever an Arrow batch holds: some hundred bytes of arrays and spelled n-grams for each.
+PIECE_TOKENS = 2**18
 
 
 def terms(
@@ -87,6 +89,17 @@ def _distinct(parts: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarr
     return first, counts
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of whole rows of at most PIECE_TOKENS tokens; a longer row is one run."""
+    lengths = pc.fill_null(pc.list_value_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(lengths, dtype=np.int64), 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + PIECE_TOKENS, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _batch_counts(batch: pa.RecordBatch, sizes: Iterable[int], removed: pa.Array, frequent: np.ndarray | None, sliced: int) -> Iterator[pa.RecordBatch]:
     """Rows (group columns, n, term, frequency) of one batch, whose last column holds the tokens."""
     tokens, groups = batch.column(batch.num_columns - 1), batch.columns[:-1]
@@ -121,14 +134,16 @@ def _batch_counts(batch: pa.RecordBatch, sizes: Iterable[int], removed: pa.Array
 
 
 def _counts(df: DataFrame, text_col: str, group: list[str], sizes: Iterable[int], removed: Iterable[str], frequent: bytes | None = None, sliced: int = 1) -> DataFrame:
-    """(group, n, term, frequency); batches count first, then tasks, then the shuffle."""
+    """(group, n, term, frequency); pieces of batches count first, then tasks, then the shuffle."""
     sizes, removed = list(sizes), sorted({w.lower() for w in removed})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stop = pa.array(removed, pa.string())
         table = None if frequent is None else np.frombuffer(frequent, np.uint8)
         for batch in batches:
-            yield from _batch_counts(batch, sizes, stop, table, sliced)
+            for piece in _pieces(batch):
+                yield from _batch_counts(piece, sizes, stop, table, sliced)
+        pa.default_memory_pool().release_unused()
 
     kinds = "".join(f"`{name}` {df.schema[name].dataType.simpleString()}, " for name in group)
     partial = df.select(*group, X.term_tokens(text_col).alias("_tokens")).mapInArrow(run, f"{kinds}n int, term string, frequency bigint")

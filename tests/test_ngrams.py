@@ -70,3 +70,28 @@ def test_wide_keys_are_made_dense():
     first, counts = ngrams._distinct([(c, 2**40) for c in columns])
     rows = list(zip(*[c.tolist() for c in columns]))
     assert {rows[i]: n for i, n in zip(first, counts)} == {r: rows.count(r) for r in set(rows)}
+
+
+def test_a_batch_is_counted_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngrams, "PIECE_TOKENS", 10)
+    pick = random.Random(4)
+    lists = [None, [], ["a"] * 25, *([pick.choice("abc") for _ in range(pick.randrange(9))] for _ in range(40)), [], None]
+    whole = pa.RecordBatch.from_arrays([pa.array(["x", None, "y"] * 15), pa.array(lists, pa.list_(pa.string()))], ["label", "_tokens"])
+    batch = whole.slice(1)
+
+    def added(parts):
+        total = {}
+        for part in parts:
+            for row in (r for b in ngrams._batch_counts(part, [1, 3], pa.array(["c"]), None, 1) for r in b.to_pylist()):
+                key = (row["label"], row["n"], row["term"])
+                total[key] = total.get(key, 0) + row["frequency"]
+        return total
+
+    pieces = list(ngrams._pieces(batch))
+    assert pa.Table.from_batches(pieces).to_pylist() == batch.to_pylist()
+    sizes = [[len(r or []) for r in p.column(1).to_pylist()] for p in pieces]
+    assert len(pieces) > 5 and all(sum(s) <= 10 or len(s) == 1 for s in sizes)
+    assert added(pieces) == added([batch])
+    assert list(ngrams._pieces(batch.slice(0, 0))) == []
