@@ -5,7 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,6 +129,8 @@ def model_chunks(text: Column, chunk_size: int, step: int | None, min_chunk_char
     return F.filter(chunks, lambda c: F.length(c) >= min_chunk_chars)
 
 
+_VOTES = pa.list_(pa.struct([("label", pa.string()), ("prob", pa.float64()), ("marks", pa.float64())]))
+
 _LOADED: dict[str, Predictor | None] = {}
 
 
@@ -173,10 +178,9 @@ class _Tally:
     """What decides whether a page needs more chunks: the early verdict of ``_model_status``."""
 
     def __init__(self):
-        self.votes, self.seen, self.accepted, self.dia, self.decided = [], set(), 0, 0, False
+        self.seen, self.accepted, self.dia, self.decided = set(), 0, 0, False
 
     def add(self, label: str | None, prob: float | None, marks: float, p: dict) -> None:
-        self.votes.append({"label": label, "prob": prob, "marks": marks})
         marked = marks >= p["diacritic_threshold"]
         trusted = label is not None and prob is not None and prob >= p["conf_threshold"]
         self.accepted += trusted or marked
@@ -187,32 +191,57 @@ class _Tally:
             self.decided = kinds >= 2 and self.accepted >= p["min_accepted_chunks"]
 
 
-def _scored(pages: pd.Series, predictor: Predictor, p: dict) -> list:
-    """Votes per page. Round k asks for the k-th chunk of the pages that are still open, all at once."""
-    tallies = [None if chunks is None else _Tally() for chunks in pages]
-    open_ = [i for i, chunks in enumerate(pages) if chunks is not None and len(chunks)]
+def _scored(pages: pa.ListArray, predictor: Predictor, p: dict) -> pa.ListArray:
+    """Votes per page. Round k asks for the k-th chunk of the pages that are still open, all at once.
+
+    Chunks stay in the Arrow batch: a round's texts are Python strings, and a vote is three numbers.
+    """
+    if not len(pages):
+        return pa.nulls(0, _VOTES)
+    offsets = pages.offsets.to_numpy().astype(np.int64)
+    starts, sizes = offsets[:-1] - offsets[0], np.diff(offsets)
+    chunks = pages.values.slice(offsets[0], offsets[-1] - offsets[0])
+    present = pages.is_valid().to_numpy(zero_copy_only=False)
+    labels, probs, marks = np.full(len(chunks), -1, np.int32), np.full(len(chunks), np.nan), np.zeros(len(chunks))
+    names: dict[str, int] = {}
+    asked = np.zeros(len(pages), np.int64)
+    open_ = np.flatnonzero(present & (sizes > 0)).tolist()
+    tallies = {i: _Tally() for i in open_}
     k = 0
     while open_:
-        texts = [pages.iloc[i][k] for i in open_]
-        for i, text, (label, prob) in zip(open_, texts, _guesses(predictor, texts), strict=True):
-            tallies[i].add(label, prob, _marks(text), p)
+        places = starts[open_] + k
+        texts = pc.array_take(chunks, pa.array(places)).to_pylist()
+        for i, at, text, (label, prob) in zip(open_, places.tolist(), texts, _guesses(predictor, texts), strict=True):
+            marks[at] = _marks(text)
+            tallies[i].add(label, prob, marks[at], p)
+            if label is not None:
+                labels[at] = names.setdefault(label, len(names))
+            if prob is not None:
+                probs[at] = prob
         k += 1
-        open_ = [i for i in open_ if not tallies[i].decided and k < len(pages.iloc[i])]
-    return [None if t is None else t.votes for t in tallies]
+        asked[open_] = k
+        open_ = [i for i in open_ if not tallies[i].decided and k < sizes[i]]
+    # the chunks behind a page's verdict go
+    given = np.arange(len(chunks)) - np.repeat(starts, sizes) < np.repeat(asked, sizes)
+    codes = labels[given]
+    votes = pa.StructArray.from_arrays(
+        [pc.array_take(pa.array(list(names), pa.string()), pa.array(codes, mask=codes < 0)), pa.array(probs[given], from_pandas=True), pa.array(marks[given])],
+        ["label", "prob", "marks"],
+    )
+    ends = np.concatenate(([0], np.cumsum(asked))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), votes, mask=pa.array(~present))
 
 
 def _predict(factory: PredictorFactory, chunks: Column, p: dict) -> Column:
     """Label, probability and diacritic ratio per chunk, up to the early verdict; NULL when there is no model."""
     token = uuid.uuid4().hex
 
-    @F.pandas_udf("array<struct<label: string, prob: double, marks: double>>")
-    def vote(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<struct<label: string, prob: double, marks: double>>")
+    def vote(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         predictor = _loaded(token, factory)
         for pages in batches:
-            if predictor is None:
-                yield pd.Series([None] * len(pages), dtype=object)
-            else:
-                yield pd.Series(_scored(pages, predictor, p), dtype=object)
+            yield pa.nulls(len(pages), _VOTES) if predictor is None else _scored(pages, predictor, p)
+        pa.default_memory_pool().release_unused()
 
     return vote(chunks)
 

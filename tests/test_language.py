@@ -4,6 +4,8 @@ import re
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from crawlprism.functions import text as X
@@ -290,3 +292,37 @@ def test_model_that_does_not_load(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     with pytest.raises(ValueError, match="not both"):
         L.detect_language(df, "text", predictor=marker_predictor(), predictor_factory=factory)
+
+
+P = {"conf_threshold": 0.7, "diacritic_threshold": 0.03, "min_accepted_chunks": 2}
+
+
+def test_votes_of_an_arrow_batch():
+    def predict(chunks):
+        if "bad" in set(chunks):
+            raise ValueError("no")
+        return pd.DataFrame({"label": [None if c == "?" else c[:2] for c in chunks], "prob": [None if c == "?" else 0.9 for c in chunks]})
+
+    lists = [["xx"], None, [], ["en", "bad", "?", "en"], ["en1", "fr1", "de1"], None, ["é"], ["zz"]]
+    pages = pa.array(lists, pa.list_(pa.string())).slice(1, 6)
+    en, none = {"label": "en", "prob": 0.9, "marks": 0.0}, {"label": None, "prob": None, "marks": 0.0}
+    got = L._scored(pages, predict, P).to_pylist()
+    # a page without chunks has no votes, one without text has no list, and chunks behind the verdict are not asked for
+    assert got == [None, [], [en, none, none, en], [en, {"label": "fr", "prob": 0.9, "marks": 0.0}], None, [{"label": "é", "prob": 0.9, "marks": 1.0}]]
+    assert L._scored(pages.slice(0, 0), predict, P).to_pylist() == []
+    assert L._scored(pages.slice(0, 1), predict, P).to_pylist() == [None]
+
+
+def test_votes_take_little_memory():
+    """Python objects are made of one round's texts, not of all chunks and votes of a batch."""
+    import tracemalloc
+
+    n = 40_000
+    pages = pa.array([[f"{i:05d} {k} " + "x" * 480 for k in range(20)] for i in range(n // 20)])
+    tracemalloc.start()
+    try:
+        votes = L._scored(pages, lambda c: pd.DataFrame({"label": ["en"] * len(c), "prob": [0.9] * len(c)}), P)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert pc.sum(pc.list_value_length(votes)).as_py() == n and peak < 150 * n
