@@ -39,11 +39,11 @@ def with_class_weight(
 ) -> DataFrame:
     """Attach the weight of each row's class; a class without a weight gets 1.0.
 
-    The weight table has one row per class. Adaptive execution broadcasts it when it
-    turns out small, and splits a majority class when it does not.
+    The weight table has one row per class and is broadcast: dealt by class, a page's text would move, and all pages
+    of a class would be one task, also in the classifier, which keeps the partitions it is given.
     """
     weights = class_weights(df, label_col) if weights is None else weights
-    joined = df.join(weights, label_col, "left")
+    joined = df.join(F.broadcast(weights), label_col, "left")
     return joined.withColumn("class_weight", F.coalesce("class_weight", F.lit(1.0)))
 
 

@@ -60,6 +60,18 @@ def test_unknown_class_weighs_one(spark):
     assert sorted((r["label"], r["class_weight"]) for r in rows) == [("a", 1.0), ("a", 1.0), ("b", 2.0), ("c", 1.0)]
 
 
+def test_classes_are_not_brought_together(spark):
+    """Rows keep their partitions, whatever their class: a class is not one task of the classifier."""
+    df = cut_lineage(spark.range(7000, numPartitions=7).select("id", F.expr("if(id % 3 = 0, 'a', 'b') as label")))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = features.with_class_weight(df).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sizes == [1000] * 7
+
+
 def test_tokens_equal_the_ml_stages(spark, sf):
     docs = load(spark, sf, "documents", "doc_id", "text")
     staged = features.stop_word_remover().transform(features.tokenizer("text").transform(docs))
